@@ -59,7 +59,11 @@ _TOP_RECENT = """
 
 @registered(_TOP_RECENT)
 def sub_scalar_correlated(t: Tables, as_of: date = ORDERS_AS_OF, days: int = 30, top: int = 20) -> DataFrame:
-    """Two scalar subqueries per row; Catalyst turns both into outer joins with aggregates."""
+    """Two scalar subqueries per row; Catalyst turns both into outer joins with aggregates.
+
+    The order and limit stand beside the subqueries: over an input that is already
+    sorted and limited, Spark 4.1 moves the limit past the rewritten join and drops the sort.
+    """
     orders = t["orders"]
     return orders.sparkSession.sql(
         """
@@ -68,10 +72,11 @@ def sub_scalar_correlated(t: Tables, as_of: date = ORDERS_AS_OF, days: int = 30,
                (SELECT cast(sum(cast(x.o_totalprice AS decimal(12,2))) AS double) FROM {orders} x
                 WHERE x.o_custkey = o.o_custkey) AS total_spent,
                cast(o.o_orderdate AS date) AS order_date, o.o_totalprice AS total_amount
-        FROM {recent} o
+        FROM {recent} o ORDER BY o.o_totalprice DESC, o.o_orderkey LIMIT {top}
         """,
         orders=orders,
-        recent=_top_recent(orders, as_of, days, top),
+        recent=orders.filter(F.col("o_orderdate") >= on(back(as_of, days))),
+        top=top,
     )
 
 

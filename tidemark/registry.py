@@ -19,10 +19,10 @@ _MODULES = (
     "tidemark.operators.windows",
     "tidemark.operators.ranking",
     "tidemark.operators.unions",
-    # "tidemark.operators.marts",
+    "tidemark.operators.marts",
     "tidemark.operators.skew",
-    # "tidemark.operators.reports",
-    # "tidemark.plans.source_queries",
+    "tidemark.operators.reports",
+    "tidemark.plans.source_queries",
     # "tidemark.plans.document_queries",
     # "tidemark.plans.quality_queries",
     # "tidemark.plans.load_queries",
