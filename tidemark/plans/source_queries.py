@@ -314,8 +314,8 @@ def layout_replicated(t) -> DataFrame:
     c AS (SELECT order_id, (('0x' || substr(h, 1, 8))::bigint % (SELECT products FROM n)) AS product_id,
                  1 + ('0x' || substr(h, 9, 4))::integer % 5 AS quantity,
                  CASE WHEN ('0x' || substr(h, 13, 4))::integer % 10 >= 7 THEN ('0x' || substr(h, 13, 4))::integer % 20 ELSE 0 END AS discount FROM i),
-    p AS (SELECT order_id, round((10 + cast(('0x' || substr(md5('product:42:' || product_id), 1, 4))::integer AS decimal(10,2)) / 100)::decimal(10,2)
-                 * quantity * (100 - discount)::decimal(3,0) / 100, 2)::decimal(12,2) AS subtotal FROM c),
+    p AS (SELECT order_id, round((('0x' || substr(md5('product:42:' || product_id), 1, 4))::integer + 1000)::decimal(8,0) * 0.01
+                 * quantity::decimal(2,0) * (100 - discount)::decimal(3,0) * 0.01, 2)::decimal(12,2) AS subtotal FROM c),
     s AS (SELECT order_id, count(*) AS item_count, sum(subtotal) AS total_amount FROM p GROUP BY 1)
     SELECT o.order_id, ('0x' || substr(h, 1, 8))::bigint % (SELECT customers FROM n) AS customer_id,
            (date '2024-12-31' - ('0x' || substr(h, 9, 4))::integer % 730)::date AS order_date,

@@ -23,8 +23,8 @@ _MODULES = (
     "tidemark.operators.skew",
     "tidemark.operators.reports",
     "tidemark.plans.source_queries",
-    # "tidemark.plans.document_queries",
-    # "tidemark.plans.quality_queries",
+    "tidemark.plans.document_queries",
+    "tidemark.plans.quality_queries",
     # "tidemark.plans.load_queries",
     # "tidemark.plans.stream_queries",
 )

@@ -6,9 +6,12 @@ seed: any executor can recompute it, and two runs agree.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CENT = Decimal("0.01")
 STATUSES = ["pending", "processing", "shipped", "delivered", "cancelled"]
 PAYMENTS = ["Credit Card", "PayPal", "Bank Transfer", "Cash on Delivery"]
 COUNTRIES = ["USA", "UK", "Germany", "France", "Canada"]
@@ -36,7 +39,8 @@ def _pick(values: list[str], number: Column) -> Column:
 
 def product_price(product_id: Column, seed: int) -> Column:
     """10.00 .. 665.35, a function of the product alone."""
-    return (F.lit(10) + _number(_hash("product", seed, product_id), 0) / F.lit(100)).cast("decimal(10,2)")
+    cents = _number(_hash("product", seed, product_id), 0) + 1000
+    return (cents.cast("decimal(8,0)") * CENT).cast("decimal(10,2)")
 
 
 def gen_customers(ids: DataFrame, seed: int = 42) -> DataFrame:
@@ -74,7 +78,8 @@ def gen_order_items(ids: DataFrame, products: int, seed: int = 42) -> DataFrame:
         F.when(_number("h", 3) % 10 >= 7, _number("h", 3) % 20).otherwise(0).alias("discount_percentage"),
     )
     price = product_price(F.col("product_id"), seed)
-    net = price * F.col("quantity") * (100 - F.col("discount_percentage")).cast("decimal(3,0)") / 100
+    kept = (100 - F.col("discount_percentage")).cast("decimal(3,0)") * CENT
+    net = price * F.col("quantity").cast("decimal(2,0)") * kept
     return chosen.withColumn("unit_price", price).withColumn("subtotal", F.round(net, 2).cast("decimal(12,2)"))
 
 
