@@ -25,7 +25,7 @@ _MODULES = (
     "tidemark.plans.source_queries",
     "tidemark.plans.document_queries",
     "tidemark.plans.quality_queries",
-    # "tidemark.plans.load_queries",
+    "tidemark.plans.load_queries",
     # "tidemark.plans.stream_queries",
 )
 

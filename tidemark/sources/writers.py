@@ -89,13 +89,11 @@ class VersionedTable:
 
     def versions(self) -> list[str]:
         """Names of published states, oldest first (one short row per publish)."""
-        try:
-            log = self.spark.read.schema("seq bigint, version string").parquet(self._log)
-            return [row["version"] for row in log.orderBy("seq").collect()]
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return []
-            raise
+        schema = "seq bigint, version string"
+        # Makes an empty log where there is none, and leaves an existing one alone.
+        self.spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(self._log)
+        log = self.spark.read.schema(schema).parquet(self._log)
+        return [row["version"] for row in log.orderBy("seq").collect()]
 
     def current(self) -> DataFrame | None:
         names = self.versions()
