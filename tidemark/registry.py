@@ -26,7 +26,7 @@ _MODULES = (
     "tidemark.plans.document_queries",
     "tidemark.plans.quality_queries",
     "tidemark.plans.load_queries",
-    # "tidemark.plans.stream_queries",
+    "tidemark.plans.stream_queries",
 )
 
 

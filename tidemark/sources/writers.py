@@ -83,17 +83,18 @@ class VersionedTable:
     the one being written.
     """
 
+    _LOG = "seq bigint, version string"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._log = f"{self.root}/_versions"
+        # Makes an empty log where there is none, and leaves an existing one alone.
+        spark.createDataFrame([], self._LOG).coalesce(1).write.mode("ignore").parquet(self._log)
 
     def versions(self) -> list[str]:
         """Names of published states, oldest first (one short row per publish)."""
-        schema = "seq bigint, version string"
-        # Makes an empty log where there is none, and leaves an existing one alone.
-        self.spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(self._log)
-        log = self.spark.read.schema(schema).parquet(self._log)
-        return [row["version"] for row in log.orderBy("seq").collect()]
+        log = self.spark.read.schema(self._LOG).parquet(self._log)
+        return [row["version"] for row in sorted(log.collect())]
 
     def current(self) -> DataFrame | None:
         names = self.versions()
@@ -105,6 +106,6 @@ class VersionedTable:
         version = version or f"v{len(names):08d}"
         if version not in names:
             df.write.mode("overwrite").parquet(f"{self.root}/{version}")
-            entry = self.spark.createDataFrame([(len(names), version)], "seq bigint, version string")
+            entry = self.spark.createDataFrame([(len(names), version)], self._LOG)
             entry.coalesce(1).write.mode("append").parquet(self._log)
         return version
