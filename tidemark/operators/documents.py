@@ -44,34 +44,17 @@ def json_shred_relational(df: DataFrame, json_col: str, route_col: str) -> dict[
     """
     users = df.filter(F.col(route_col).like("/api/users/%"))
     orders = df.filter(F.col(route_col).like("/api/orders/%"))
+    read = lambda rows, schema: rows.select(F.from_json(json_col, schema).alias("d"))
     return {
-        "users": json_extract_typed(
-            users,
-            json_col,
-            {
-                "user_id": ("$.user_id", "bigint"),
-                "name": ("$.name", "string"),
-                "email": ("$.email", "string"),
-                "theme": ("$.settings.theme", "string"),
-                "notifications": ("$.settings.notifications", "boolean"),
-            },
+        "users": read(
+            users, "user_id bigint, name string, email string, settings struct<theme string, notifications boolean>"
+        ).select("d.user_id", "d.name", "d.email", "d.settings.theme", "d.settings.notifications"),
+        "orders": read(orders, "order_id bigint, customer_id bigint, total decimal(18,2)").select("d.*"),
+        "order_details": read(orders, "order_id bigint, items array<struct<id bigint, name string, qty int>>")
+        .select("d.order_id", F.explode("d.items").alias("i"))
+        .select(
+            "order_id", F.col("i.id").alias("product_id"), F.col("i.name").alias("product_name"), F.col("i.qty").alias("quantity")
         ),
-        "orders": json_extract_typed(
-            orders,
-            json_col,
-            {
-                "order_id": ("$.order_id", "bigint"),
-                "customer_id": ("$.customer_id", "bigint"),
-                "total": ("$.total", "decimal(18,2)"),
-            },
-        ),
-        "order_details": json_explode_items(
-            orders.withColumn("order_id", F.get_json_object(json_col, "$.order_id").cast("bigint")),
-            json_col,
-            "$.items",
-            "struct<id bigint, name string, qty int>",
-            ["order_id"],
-        ).select("order_id", F.col("id").alias("product_id"), F.col("name").alias("product_name"), F.col("qty").alias("quantity")),
     }
 
 

@@ -59,11 +59,16 @@ def load_append(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source)
 
 
-def load_insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Add source rows whose key is not there yet; of several with one key, the smallest by all columns."""
+def unknown_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows whose key the target lacks; of several with one key, the smallest by all columns."""
     rest = _others(source, keys)
     once = source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
-    return target.unionByName(once.join(target.select(*keys), keys, "left_anti"))
+    return once.join(target.select(*keys), keys, "left_anti").select(*source.columns)
+
+
+def load_insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Add source rows whose key is not there yet (appending ``unknown_rows`` stores the same)."""
+    return target.unionByName(unknown_rows(target, source, keys))
 
 
 def load_upsert(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
@@ -171,17 +176,16 @@ def load_fact_enrich(
     return facts.withColumn("discount_amount", discount).withColumn("total_amount", F.round(gross, 2) - discount)
 
 
-def load_incremental(
-    target: DataFrame,
+def since_watermark(
     source: DataFrame,
     control: DataFrame,
     table_name: str,
     ts: str,
     as_of: datetime,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
-    start: datetime = datetime(2000, 1, 1),
+    start: datetime = datetime(1900, 1, 1),
 ) -> tuple[DataFrame, DataFrame]:
-    """Add source rows later than the stored watermark, and move the watermark.
+    """Source rows later than the stored watermark, and the control table with the watermark moved.
 
     The new watermark is the latest time that was loaded, not the clock, so rows that
     reach the source later are not skipped.  Control has one row per table.
@@ -199,7 +203,13 @@ def load_incremental(
     )
     rows = enrich(fresh) if enrich else fresh
     others = control.filter(F.col("table_name") != table_name)
-    return target.unionByName(rows), others.unionByName(entry)
+    return rows, others.unionByName(entry)
+
+
+def load_incremental(target: DataFrame, source: DataFrame, control: DataFrame, *args, **kwargs) -> tuple[DataFrame, DataFrame]:
+    """``since_watermark`` added to the target (appending its rows stores the same)."""
+    rows, control = since_watermark(source, control, *args, **kwargs)
+    return target.unionByName(rows), control
 
 
 def upd_line_total(df: DataFrame, quantity: str, price: str, out: str) -> DataFrame:

@@ -9,6 +9,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import months_back
 from tidemark.operators import loads
 from tidemark.operators import quality as dq
 from tidemark.sources.writers import VersionedTable
@@ -50,10 +51,11 @@ class RunLog:
         self.frame().coalesce(1).write.mode("append").parquet(path)
 
 
-def publish_counted(table: VersionedTable, df: DataFrame, version: str | None = None) -> int:
-    """Publish and count the written rows in the same pass."""
+def publish_counted(table: VersionedTable, df: DataFrame, append: bool = False) -> int:
+    """Store and count the written rows in the same pass."""
     seen = Observation()
-    table.publish(df.observe(seen, F.count(F.lit(1)).alias("rows")), version)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    table.append(counted) if append else table.publish(counted)
     return seen.get["rows"]
 
 
@@ -85,7 +87,8 @@ def pipe_staging_to_prod(
         def promote() -> tuple[int, int]:
             target = stored if stored is not None else spark.createDataFrame([], clean.schema)
             rejected = staged.agg(F.count_if(F.coalesce(drop_if, F.lit(False)))).first()[0]
-            return publish_counted(production, loads.load_insert_ignore(target, clean, keys)), rejected
+            # Only new rows are written; production is read for its keys alone.
+            return publish_counted(production, loads.unknown_rows(target, clean, keys), append=True), rejected
 
         log.step("promote", promote)
         log.step("clear staging", lambda: staging.publish(staged.limit(0)) and 0)
@@ -133,26 +136,31 @@ def pipe_daily_etl(
         )
 
         def facts() -> int:
-            new_facts, new_control = loads.load_incremental(
-                w.facts.current(), w.transactions, w.control.current(), "fact_transactions", "transaction_ts", run_at
+            rows, control = loads.since_watermark(
+                w.transactions, w.control.current(), "fact_transactions", "transaction_ts", run_at
             )
-            rows = publish_counted(w.facts, new_facts)
-            w.control.publish(new_control)
-            return rows
+            done = publish_counted(w.facts, rows, append=True)
+            w.control.publish(control)
+            return done
 
         log.step("facts", facts)
-        log.step(
-            "deduplicate",
-            lambda: publish_counted(
-                w.facts, loads.dedup_keep_latest(w.facts.current(), ["transaction_id"], ["transaction_ts"])
-            ),
-        )
+
+        def deduplicate() -> int:
+            stored = w.facts.current()
+            repeated = stored.groupBy("transaction_id").count().filter("count > 1")
+            if repeated.isEmpty():  # the usual case: one column read, nothing rewritten
+                return 0
+            return publish_counted(w.facts, loads.dedup_keep_latest(stored, ["transaction_id"], ["transaction_ts"]))
+
+        log.step("deduplicate", deduplicate)
         log.step("aggregate", lambda: publish_counted(w.daily, loads.agg_refresh_daily(w.daily.current(), w.facts.current(), refresh)))
 
         def retain() -> int:
-            kept = loads.part_drop_old(
-                w.facts.current().withColumn("_month", F.date_format("sale_date", "yyyy-MM")), "_month", retention_months, refresh
-            )
+            stored = w.facts.current().withColumn("_month", F.date_format("sale_date", "yyyy-MM"))
+            kept = loads.part_drop_old(stored, "_month", retention_months, refresh)
+            oldest = stored.agg(F.min("_month")).first()[0]
+            if oldest is None or oldest >= months_back(refresh, retention_months).strftime("%Y-%m"):
+                return 0
             return publish_counted(w.facts, kept.drop("_month"))
 
         log.step("retention", retain)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import money, on
+from tidemark.functions.scratch import spread
 from tidemark.operators import quality as dq
 from tidemark.registry import registered
 
@@ -40,7 +41,10 @@ def staged_sales(t) -> DataFrame:
         .when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "yyyy-MM-dd"))
         .otherwise(F.date_format("l_shipdate", "MM/dd/yyyy"))
     )
-    return t["lineitem"].select(
+    lines = t["lineitem"].select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"
+    )
+    return spread(lines).select(
         F.when(order % 40 == 0, F.concat(F.lit("x"), text(order))).when(order % 40 != 1, text(order)).alias("order_id"),
         text(supplier).alias("customer_id"),
         text(part).alias("product_id"),

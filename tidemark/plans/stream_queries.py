@@ -11,7 +11,7 @@ from tidemark.functions.exprs import money, on
 from tidemark.functions.scratch import scratch_path
 from tidemark.operators import loads
 from tidemark.registry import registered
-from tidemark.sources.writers import VersionedTable
+from tidemark.sources.writers import KeyedTable
 from tidemark.streaming import streams
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -105,13 +105,13 @@ def st_interval_join(t) -> DataFrame:
 def st_upsert(t) -> DataFrame:
     """The latest event per user, kept by two runs over two arrivals."""
     root, spark = _root(t, "upsert"), t.spark
-    table = VersionedTable(spark, f"{root}/table")
+    table = KeyedTable(spark, f"{root}/table", ["user_id"])
     columns = ["user_id", "ts", "event_id", "event_type", "value"]
     edge = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     for wave in (F.col("ts") < edge, F.col("ts") >= edge):
         t["events"].filter(wave).write.mode("append").parquet(f"{root}/in")
         stream = streams.file_stream(spark, f"{root}/in", EVENTS).select(*columns)
-        streams.st_upsert(stream, table, ["user_id"], ["ts", "event_id"], f"{root}/checkpoint")
+        streams.st_upsert(stream, table, ["ts", "event_id"], f"{root}/checkpoint")
     return table.current().drop("ts")
 
 
@@ -127,7 +127,7 @@ def st_cdc_scd2(t) -> DataFrame:
     root, spark = _root(t, "cdc"), t.spark
     key, price = F.col("p_partkey"), F.col("p_retailprice")
     columns = [key.alias("product_id"), F.col("p_type").alias("category"), price.alias("price")]
-    table = VersionedTable(spark, f"{root}/dim")
+    table = KeyedTable(spark, f"{root}/dim", ["product_id"])
     table.publish(
         t["part"].filter(key % 2 == 0).select(
             *columns, on("2024-01-01").alias("valid_from"), on(loads.END_OF_TIME).alias("valid_to"), F.lit(True).alias("is_current")
@@ -138,6 +138,6 @@ def st_cdc_scd2(t) -> DataFrame:
     changes.withColumn("price", F.col("price") + F.col("seq")).write.parquet(f"{root}/feed")
     stream = streams.file_stream(spark, f"{root}/feed", "product_id bigint, category string, price double, seq int")
     streams.st_cdc_scd2(
-        stream, table, "product_id", ["category", "price"], ["seq"], lambda batch: date(2025, 1, 1) + timedelta(days=batch), f"{root}/checkpoint"
+        stream, table, ["category", "price"], ["seq"], lambda batch: date(2025, 1, 1) + timedelta(days=batch), f"{root}/checkpoint"
     )
     return table.current()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import on
+from tidemark.functions.scratch import written
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", null: str = "") -> str:
@@ -75,15 +77,33 @@ def read_months(spark: SparkSession, path: str, ts: str, lo: date, hi: date, par
     return pruned.filter((F.col(ts) >= on(lo)) & (F.col(ts) < on(hi)))
 
 
+def rewrite_partitions(
+    spark: SparkSession, path: str, part: str, source: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]
+) -> list[str]:
+    """Merge ``source`` into a partitioned table, reading and writing only the partitions it touches.
+
+    ``merge(stored rows of those partitions, source)`` gives their new state.  It is
+    written to scratch first, because a path cannot be overwritten while it is read.
+    A key must not move to another partition; where it can, rewrite both.
+    """
+    touched = sorted(str(row[0]) for row in source.select(part).distinct().collect())  # at most one per directory
+    if not touched:
+        return touched
+    stored = spark.read.schema(source.schema).parquet(path).filter(F.col(part).cast("string").isin(touched))
+    write_partitioned(written(merge(stored, source), "merge"), path, part, mode="overwrite")
+    return touched
+
+
 class VersionedTable:
-    """A table whose every state is a directory of its own, and a log that names the current one.
+    """A table kept as directories, and a log that names the ones that make up its current state.
 
-    A new state is written in full before its name is appended to the log, so readers
-    see the old or the new state and never a mixture, and the path being read is never
-    the one being written.
+    ``publish`` replaces the state, ``append`` adds a directory to it.  Either writes its
+    rows in full before the log entry that makes them visible, so readers see the old
+    or the new state and never a mixture, and no path is overwritten while it is read.
+    Doing it again under the same name does nothing, which makes retries harmless.
     """
 
-    _LOG = "seq bigint, version string"
+    _LOG = "seq bigint, version string, kind string"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -91,21 +111,67 @@ class VersionedTable:
         # Makes an empty log where there is none, and leaves an existing one alone.
         spark.createDataFrame([], self._LOG).coalesce(1).write.mode("ignore").parquet(self._log)
 
+    def log(self) -> list[tuple[int, str, str]]:
+        """(sequence, name, kind) of every change, oldest first: one short row each."""
+        rows = self.spark.read.schema(self._LOG).parquet(self._log).collect()
+        return sorted((row["seq"], row["version"], row["kind"]) for row in rows)
+
     def versions(self) -> list[str]:
-        """Names of published states, oldest first (one short row per publish)."""
-        log = self.spark.read.schema(self._LOG).parquet(self._log)
-        return [row["version"] for row in sorted(log.collect())]
+        return [name for _, name, _ in self.log()]
+
+    def paths(self) -> list[str]:
+        """Directories of the current state: the last full one and what was appended since."""
+        live: list[str] = []
+        for _, name, kind in self.log():
+            live = [name] if kind == "full" else [*live, name]
+        return [f"{self.root}/{name}" for name in live]
 
     def current(self) -> DataFrame | None:
-        names = self.versions()
-        return self.spark.read.parquet(f"{self.root}/{names[-1]}") if names else None
+        paths = self.paths()
+        return self.spark.read.parquet(*paths) if paths else None
 
     def publish(self, df: DataFrame, version: str | None = None) -> str:
-        """Write ``df`` as the new state.  Publishing a name that is already there does nothing."""
+        return self._write(df, version, "full")
+
+    def append(self, df: DataFrame, version: str | None = None) -> str:
+        return self._write(df, version, "delta")
+
+    def _write(self, df: DataFrame, version: str | None, kind: str) -> str:
         names = self.versions()
         version = version or f"v{len(names):08d}"
         if version not in names:
-            df.write.mode("overwrite").parquet(f"{self.root}/{version}")
-            entry = self.spark.createDataFrame([(len(names), version)], self._LOG)
+            self._prepared(df, len(names)).write.mode("overwrite").parquet(f"{self.root}/{version}")
+            entry = self.spark.createDataFrame([(len(names), version, kind)], self._LOG)
             entry.coalesce(1).write.mode("append").parquet(self._log)
         return version
+
+    def _prepared(self, df: DataFrame, seq: int) -> DataFrame:
+        return df
+
+
+class KeyedTable(VersionedTable):
+    """A versioned table whose appended rows replace all earlier rows of their keys.
+
+    A change costs a write of the changed keys alone; readers merge.  ``compact``
+    stores the merged state when the appended directories have become many.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str]):
+        super().__init__(spark, root)
+        self.keys = keys
+
+    def _prepared(self, df: DataFrame, seq: int) -> DataFrame:
+        return df.withColumn("_seq", F.lit(seq).cast("bigint"))
+
+    def current(self) -> DataFrame | None:
+        paths = self.paths()
+        if not paths:
+            return None
+        rows = self.spark.read.parquet(*paths)
+        if len(paths) == 1:
+            return rows.drop("_seq")
+        newest = rows.groupBy(*self.keys).agg(F.max("_seq").alias("_newest"))
+        return rows.join(newest, self.keys).filter(F.col("_seq") == F.col("_newest")).drop("_seq", "_newest")
+
+    def compact(self, version: str | None = None) -> str:
+        return self.publish(self.current(), version)

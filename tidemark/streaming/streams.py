@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import loads
-from tidemark.sources.writers import VersionedTable
+from tidemark.sources.writers import KeyedTable
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None, **options) -> DataFrame:
@@ -109,33 +109,38 @@ def st_interval_join(
 
 
 def st_upsert(
-    stream: DataFrame, table: VersionedTable, keys: list[str], order_by: list[str], checkpoint: str
+    stream: DataFrame, table: KeyedTable, order_by: list[str], checkpoint: str, compact_every: int = 100
 ) -> StreamingQuery:
     """Upsert every micro-batch into a keyed table.
 
-    The new state is named after the batch, so a batch that is repeated after a failure
-    finds its state published and does nothing.
+    A batch writes one row per key it holds and nothing else.  Its directory is named
+    after the batch, so a batch repeated after a failure finds it and does nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        target = table.current()
-        target = batch.limit(0) if target is None else target
-        table.publish(loads.load_upsert(target, batch, keys, order_by), f"batch-{batch_id:08d}")
+        table.append(loads.dedup_keep_latest(batch, table.keys, order_by), f"batch-{batch_id:08d}")
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(f"compact-{batch_id:08d}")
 
     return drain_batches(stream, merge, checkpoint)
 
 
 def st_cdc_scd2(
-    stream: DataFrame, table: VersionedTable, key: str, tracked: list[str], order_by: list[str], as_of, checkpoint: str
+    stream: DataFrame, table: KeyedTable, tracked: list[str], order_by: list[str], as_of, checkpoint: str, compact_every: int = 100
 ) -> StreamingQuery:
     """Apply a change feed to a versioned dimension; the last change of a key in a batch counts.
 
+    Only the versions of keys in the batch are read against it and written again.
     ``as_of(batch_id)`` gives the validity start of the versions a batch creates.
     """
+    (key,) = table.keys
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         latest = loads.dedup_keep_latest(batch.select(key, *tracked, *order_by), [key], order_by)
-        state = loads.load_scd2_bulk(table.current(), latest, key, tracked, as_of(batch_id), close_missing=False)
-        table.publish(state, f"batch-{batch_id:08d}")
+        affected = table.current().join(latest.select(key), key, "left_semi")
+        state = loads.load_scd2_bulk(affected, latest, key, tracked, as_of(batch_id), close_missing=False)
+        table.append(state, f"batch-{batch_id:08d}")
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(f"compact-{batch_id:08d}")
 
     return drain_batches(stream, apply, checkpoint)
