@@ -109,7 +109,7 @@ class VersionedTable:
         self.spark, self.root = spark, root.rstrip("/")
         self._log = f"{self.root}/_versions"
         # Makes an empty log where there is none, and leaves an existing one alone.
-        spark.createDataFrame([], self._LOG).coalesce(1).write.mode("ignore").parquet(self._log)
+        self._entry(0, "", "").limit(0).write.mode("ignore").parquet(self._log)
 
     def log(self) -> list[tuple[int, str, str]]:
         """(sequence, name, kind) of every change, oldest first: one short row each."""
@@ -141,10 +141,13 @@ class VersionedTable:
         version = version or f"v{len(names):08d}"
         if version not in names:
             self._prepared(df, len(names)).write.mode("overwrite").parquet(f"{self.root}/{version}")
-            entry = self.spark.createDataFrame([(len(names), version, kind)], self._LOG)
-            entry.coalesce(1).write.mode("append").parquet(self._log)
+            self._entry(len(names), version, kind).write.mode("append").parquet(self._log)
         return version
 
+    def _entry(self, seq: int, version: str, kind: str) -> DataFrame:
+        one = self.spark.range(0, 1, 1, 1)
+        return one.select(F.lit(seq).cast("bigint").alias("seq"), F.lit(version).alias("version"), F.lit(kind).alias("kind"))
+
     def _prepared(self, df: DataFrame, seq: int) -> DataFrame:
         return df
 
