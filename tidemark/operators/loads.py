@@ -271,8 +271,9 @@ def summarize_day(orders: DataFrame, summary_date: date) -> DataFrame:
 
 def agg_daily_summary(summary: DataFrame, orders: DataFrame, summary_date: date) -> DataFrame:
     """Upsert the summary row of a day; without orders that day, the stored row stays as it is."""
-    row = summarize_day(orders, summary_date)
-    return summary.join(row.select("summary_date"), "summary_date", "left_anti").unionByName(row)
+    some = orders.filter(F.col("order_date") == on(summary_date)).limit(1).agg(F.count("*")).scalar()
+    kept = summary.filter((F.col("summary_date") != on(summary_date)) | (some == 0))
+    return kept.unionByName(summarize_day(orders, summary_date))
 
 
 def refresh_summary_table(build: DataFrame, path: str | None = None) -> DataFrame:
