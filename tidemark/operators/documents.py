@@ -115,7 +115,11 @@ def xml_items_explode(
 ) -> DataFrame:
     """One row per repeated element at ``items``, with header ``columns`` beside it."""
     header = [F.col(f"_x.{place}").alias(name) for name, place in (columns or {}).items()]
-    return _parsed(df, xml_col, schema).select(*keep, *header, F.inline(F.col(f"_x.{items}")))
+    names = [*keep, *(columns or {})]
+    # The outer form with a test on the position: the plain form makes Spark test the
+    # size of the array first, which parses every document a second time.
+    rows = _parsed(df, xml_col, schema).select(*keep, *header, F.posexplode_outer(f"_x.{items}").alias("_pos", "_item"))
+    return rows.filter(F.col("_pos").isNotNull()).select(*names, "_item.*")
 
 
 def xml_text_and_count(df: DataFrame, xml_col: str, schema: str | T.StructType, items: str, keep=()) -> DataFrame:

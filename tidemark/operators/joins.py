@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import EVENTS_AS_OF, ORDERS_AS_OF, back, day, micros, money, on, total
+from tidemark.functions.scratch import spread
 from tidemark.registry import registered
 from tidemark.sources.layouts import colocated_pair, replicated
 
@@ -627,7 +628,8 @@ def join_lateral_array(t: Tables) -> DataFrame:
         F.struct(F.lit(1).alias("no"), F.col("l_partkey").alias("id"), F.col("l_quantity").alias("qty")),
         F.struct(F.lit(2).alias("no"), F.col("l_suppkey").alias("id"), F.col("l_linenumber").cast("double").alias("qty")),
     )
-    docs = t["lineitem"].select(F.col("l_orderkey").alias("order_id"), F.to_json(items).alias("items"))
+    lines = spread(t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_linenumber"))
+    docs = lines.select(F.col("l_orderkey").alias("order_id"), F.to_json(items).alias("items"))
     parsed = F.from_json("items", "array<struct<no int, id bigint, qty double>>")
     return docs.select("order_id", F.explode(parsed).alias("item")).select(
         "order_id",

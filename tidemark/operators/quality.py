@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ def dq_validate_clean(raw: DataFrame, mode: str = "strict") -> DataFrame:
 
     text = F.col("order_date")
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
-    us = F.when(text.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_timestamp(text, F.lit("MM/dd/yyyy")).cast("date"))
+    turned = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2))
+    us = F.when(text.rlike(r"^\d{2}/\d{2}/\d{4}$"), turned.try_cast("date"))
     quantity, price = whole("quantity"), F.col("price").try_cast("decimal(10,2)")
     cleaned = {
         "order_id": whole("order_id"),
@@ -39,16 +41,18 @@ def dq_validate_clean(raw: DataFrame, mode: str = "strict") -> DataFrame:
         "quantity": F.when(quantity > 0, quantity),
         "price": F.when(F.col("price").rlike(r"^\d+\.?\d*$") & (price >= 0), price),
     }
-    judged = cleaned if mode == "strict" else {name: F.col(name) for name in _STAGED}
-    bad = F.lit(False)
-    for name in _STAGED:
-        bad = bad | judged[name].isNull()
-    return raw.select(
+    missing = lambda c: F.col(c).isNull()
+    raw_missing = reduce(Column.__or__, [missing(c) for c in _STAGED])
+    rows = raw.select(
         *[expr.alias(name) for name, expr in cleaned.items()],
         F.upper(F.trim("status")).alias("status"),
-        F.when(bad, "INVALID").otherwise("VALID").alias("validation_status"),
+        raw_missing.alias("_raw_missing"),
         F.to_json(F.struct("*")).alias("raw_data"),
     )
+    bad = reduce(Column.__or__, [missing(c) for c in _STAGED]) if mode == "strict" else F.col("_raw_missing")
+    return rows.select(
+        *cleaned, "status", F.when(bad, "INVALID").otherwise("VALID").alias("validation_status"), "raw_data"
+    )
 
 
 def dq_route_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
