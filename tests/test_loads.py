@@ -154,3 +154,28 @@ def test_pipeline_logs_and_clears_staging_last(spark):
     assert rows(log, "step_name", "status", "rows_affected", "rows_rejected") == [
         ("clear staging", "SUCCESS", 0, 0), ("promote", "SUCCESS", 1, 1), ("quality gate", "FAILED", None, None), ("quality gate", "SUCCESS", None, 0),
     ]
+
+
+def test_refreshed_day_is_the_only_partition_rewritten(spark):
+    days = [date(2025, 1, 1), date(2025, 1, 2)]
+    schema = "sale_date date, product_key int, store_key int, transaction_id int, customer_id int, quantity bigint, total_amount double"
+    fact = spark.createDataFrame([(d, 1, s, 10 * s, 7, 2, 5.0) for d in days for s in (1, 2, 3)], schema)
+    path = scratch_path(spark, "daily")
+    writers.write_partitioned(loads.daily_sales(fact.filter("store_key < 3")), path, "sale_date")
+    read = lambda: spark.read.parquet(path)
+    other = {f for f in read().inputFiles() if "sale_date=2025-01-01" in f}
+    for _ in range(2):
+        day = loads.daily_sales(fact.filter(F.col("sale_date") == F.lit(days[1])))
+        writers.write_partitioned(day, path, "sale_date", mode="overwrite")
+        assert rows(read().groupBy("sale_date").count()) == [(days[0], 2), (days[1], 3)]
+        assert {f for f in read().inputFiles() if "sale_date=2025-01-01" in f} == other
+
+
+def test_late_facts_reach_only_their_days(spark):
+    schema = "sale_date date, product_key int, store_key int, transaction_id int, customer_id int, quantity bigint, total_amount double"
+    fact = spark.createDataFrame([(date(2025, 1, d), 1, 1, d, 7, 1, 1.0) for d in (1, 2)], schema)
+    late = spark.createDataFrame([(date(2025, 1, 2), 1, 1, 9, 8, 4, 2.0), (date(2024, 12, 31), 1, 1, 8, 8, 1, 1.0)], schema)
+    wrong_but_untouched = loads.daily_sales(fact).withColumn("total_quantity", F.lit(50).cast("bigint"))
+    every, agg = loads.load_late_facts(wrong_but_untouched, fact, late)
+    assert every.count() == 4
+    assert rows(agg, "sale_date", "total_quantity") == [(date(2024, 12, 31), 1), (date(2025, 1, 1), 50), (date(2025, 1, 2), 5)]

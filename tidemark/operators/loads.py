@@ -190,14 +190,15 @@ def since_watermark(
     The new watermark is the latest time that was loaded, not the clock, so rows that
     reach the source later are not skipped.  Control has one row per table.
     """
-    stored = control.filter(F.col("table_name") == table_name).select("last_load_timestamp").first()
-    last = stored[0] if stored and stored[0] is not None else start
     kind = source.schema[ts].dataType
-    fresh = source.filter((F.col(ts) > F.lit(last).cast(kind)) & (F.col(ts) <= F.lit(as_of).cast(kind)))
+    # Times travel as text, so they mean the same in every session time zone.
+    mark = control.filter(F.col("table_name") == table_name).select(F.col("last_load_timestamp").cast("string")).first()
+    last = F.lit(mark[0] if mark and mark[0] else str(start)).cast(kind)
+    fresh = source.filter((F.col(ts) > last) & (F.col(ts) <= F.lit(str(as_of)).cast(kind)))
     seen = fresh.agg(F.max(ts).alias("last_load_timestamp"), F.count("*").alias("rows_loaded"))
     entry = seen.select(
         F.lit(table_name).alias("table_name"),
-        F.coalesce("last_load_timestamp", F.lit(last).cast(kind)).alias("last_load_timestamp"),
+        F.coalesce("last_load_timestamp", last).alias("last_load_timestamp"),
         "rows_loaded",
         F.lit("SUCCESS").alias("status"),
     )

@@ -226,16 +226,24 @@ def mart_rfm_base(t: Tables, as_of: date = ORDERS_AS_OF) -> DataFrame:
     )
 
 
+# Customer segments and the lowest and highest (recency, frequency, monetary)
+# scores that belong to them.  The first row that fits counts; the last fits everyone.
+RFM_SEGMENTS = [
+    ("Champions", (4, 5), (4, 5), (4, 5)),
+    ("Loyal Customers", (3, 5), (3, 5), (1, 5)),
+    ("New Customers", (4, 5), (1, 2), (1, 5)),
+    ("At Risk", (1, 2), (3, 5), (1, 5)),
+    ("Lost", (1, 2), (1, 2), (1, 5)),
+    ("Regular", (1, 5), (1, 5), (1, 5)),
+]
+
+
 def rfm_segment() -> Column:
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-        .when((r >= 3) & (f >= 3), "Loyal Customers")
-        .when((r >= 4) & (f <= 2), "New Customers")
-        .when((r <= 2) & (f >= 3), "At Risk")
-        .when((r <= 2) & (f <= 2), "Lost")
-        .otherwise("Regular")
-    )
+    fits = [
+        F.when(F.col("r_score").between(*r) & F.col("f_score").between(*f) & F.col("m_score").between(*m), F.lit(name))
+        for name, r, f, m in RFM_SEGMENTS
+    ]
+    return F.coalesce(*fits)
 
 
 _SEGMENT_SQL = (

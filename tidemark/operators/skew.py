@@ -67,6 +67,7 @@ def skew_flag_150(t: Tables, segments: int = 8) -> DataFrame:
 def skew_bands(t: Tables, key: str = "l_suppkey", segments: int = 8) -> DataFrame:
     average = F.avg("row_count").over(_all())
     off = F.abs(F.col("row_count") - average) / average
+    # Below 10 % off the average is balanced, below 20 % minor.
     return (
         segment_counts(t["lineitem"], key, segments)
         .withColumn("percentage", share(F.col("row_count"), F.sum("row_count").over(_all())))

@@ -137,7 +137,7 @@ def load_incremental(t) -> DataFrame:
         [("fact_events", middle, 0, "SUCCESS"), ("fact_orders", datetime(2024, 1, 2), 5, "SUCCESS")],
         "table_name string, last_load_timestamp timestamp_ntz, rows_loaded bigint, status string",
     )
-    loaded = events.filter(F.col("ts") <= F.lit(middle).cast("timestamp_ntz"))
+    loaded = events.filter(F.col("ts") <= F.lit(str(middle)).cast("timestamp_ntz"))
     facts, control = loads.load_incremental(loaded, events, control, "fact_events", "ts", now)
     summary = facts.groupBy(F.col("event_type").alias("name")).agg(F.count("*").alias("row_count"), F.max("ts").alias("last_ts"))
     moved = control.select(

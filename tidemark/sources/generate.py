@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CENT = Decimal("0.01")
+
+# The words generated columns are drawn from.
 STATUSES = ["pending", "processing", "shipped", "delivered", "cancelled"]
 PAYMENTS = ["Credit Card", "PayPal", "Bank Transfer", "Cash on Delivery"]
 COUNTRIES = ["USA", "UK", "Germany", "France", "Canada"]

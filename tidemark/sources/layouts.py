@@ -48,12 +48,16 @@ def hottest_share(df: DataFrame, key: str) -> float:
 
 
 def layout_hash(df: DataFrame, key: str, n: int, name: str | None = None, path: str | None = None) -> DataFrame:
-    """Store ``df`` in ``n`` buckets of ``key``, sorted by it, and return the stored table."""
+    """Store ``df`` in ``n`` buckets of ``key``, sorted by it, and return the stored table.
+
+    One task writes each bucket, unless a key would overfill its bucket: then every
+    task writes its own part of each bucket.
+    """
     spark = df.sparkSession
     name = name or f"tidemark_{uuid.uuid4().hex}"
+    gathered = df if hottest_share(df, key) > 2 / n else df.repartition(n, key)
     (
-        df.repartition(n, key)
-        .write.bucketBy(n, key)
+        gathered.write.bucketBy(n, key)
         .sortBy(key)
         .option("path", path or scratch_path(spark, name))
         .saveAsTable(name)
