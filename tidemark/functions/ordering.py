@@ -14,19 +14,22 @@ ONE_TASK_ROWS = 500_000
 
 
 def global_row_number(
-    df: DataFrame, *numberings: tuple[str, list[Column]], one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, *numberings: tuple[str, list[Column]], rows: int | None = None, one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
     """Add 1-based positions in total orders.
 
     Each numbering is ``(name, order columns)``; the order must be total.  The input is
-    written out and counted.  A small one gets plain row numbers.  Otherwise rows are
+    written out and counted, unless the caller has stored it and gives its ``rows``.  A
+    small one gets plain row numbers.  Otherwise rows are
     range-partitioned, numbered inside each range, and shifted by the number of rows
     in the ranges before it, so no task ever holds the whole input.  The ranged rows
     are written out too: the counts and the numbering have to see the same ranges.
     """
     spark = df.sparkSession
-    df = written(df, "rank-input")
-    if df.count() <= one_task_rows:
+    if rows is None:
+        df = written(df, "rank-input")
+        rows = df.count()
+    if rows <= one_task_rows:
         return df.select("*", *[F.row_number().over(W.orderBy(*order)).alias(name) for name, order in numberings])
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, order in numberings:

@@ -42,6 +42,8 @@ def dedup_keep_latest(df: DataFrame, keys: list[str], order_by: list[str]) -> Da
     the shuffle, so a key with very many copies costs no more than any other.
     """
     rest = _others(df, keys)
+    if not rest:
+        return df.dropDuplicates(keys)
     rank = F.struct(*order_by, *[c for c in rest if c not in order_by])
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
@@ -62,7 +64,10 @@ def load_append(target: DataFrame, source: DataFrame) -> DataFrame:
 def unknown_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows whose key the target lacks; of several with one key, the smallest by all columns."""
     rest = _others(source, keys)
-    once = source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+    if rest:
+        once = source.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+    else:
+        once = source.dropDuplicates(keys)
     return once.join(target.select(*keys), keys, "left_anti").select(*source.columns)
 
 

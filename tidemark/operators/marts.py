@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import ORDERS_AS_OF, back, day, mean, micros, money, months_back, on, share, total
-from tidemark.operators.joins import amounts_by_customer
+from tidemark.operators.joins import amounts_by_customer, with_customer
 from tidemark.operators.unions import stacked
 from tidemark.operators.windows import RFM_SQL, rfm_scores
 from tidemark.registry import registered
@@ -185,8 +185,7 @@ def mart_period_growth(t: Tables, as_of: date = ORDERS_AS_OF, months: int = 3) -
     current, amount = F.col("o_orderdate") >= on(middle), money("l_extendedprice")
     return (
         t["lineitem"]
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .join(with_customer(orders, t["customer"]), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("c_nationkey", F.col("p_type").alias("category"))
         .agg(

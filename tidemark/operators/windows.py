@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import ORDERS_AS_OF, day, money, months_back, on, segment, share
 from tidemark.functions.ordering import global_row_number, lead_in_blocks, tile
+from tidemark.functions.scratch import written
 from tidemark.operators.joins import amounts_by_customer
 from tidemark.registry import registered
 
@@ -153,19 +154,21 @@ def rfm_scores(orders: DataFrame) -> DataFrame:
         F.count("*").alias("frequency"),
         F.sum(money("o_totalprice")).alias("monetary"),
     )
+    base = written(base, "rfm")
+    rows = base.count()
     numbered = global_row_number(
         base,
         ("_r", [F.desc("last_order"), F.asc("customer_id")]),
         ("_f", [F.asc("frequency"), F.asc("customer_id")]),
         ("_m", [F.asc("monetary"), F.asc("customer_id")]),
+        rows=rows,
     )
-    rows = numbered.agg(F.count("*")).scalar()
     return numbered.select(
         "customer_id",
         "last_order",
         "frequency",
         F.col("monetary").cast("double").alias("monetary"),
-        *[tile(F.col(c), rows, 5).alias(name) for c, name in (("_r", "r_score"), ("_f", "f_score"), ("_m", "m_score"))],
+        *[tile(F.col(c), F.lit(rows), 5).alias(name) for c, name in (("_r", "r_score"), ("_f", "f_score"), ("_m", "m_score"))],
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import day, mean, money, ntz, on, total
 from tidemark.functions.scratch import scratch_path
 from tidemark.operators import loads
+from tidemark.operators.joins import with_customer
 from tidemark.plans import pipelines
 from tidemark.registry import registered
 from tidemark.sources.writers import VersionedTable
@@ -310,12 +311,11 @@ _MV_SQL = """
 
 
 def monthly_sales(t) -> DataFrame:
+    places = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
     return (
         t["lineitem"]
-        .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .join(with_customer(t["orders"], places), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
-        .join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(day(F.date_trunc("month", "o_orderdate")).alias("month"), F.col("n_name").alias("country"), F.col("p_type").alias("category"))
         .agg(
             F.count("*").alias("order_count"), total(money("l_extendedprice")).alias("total_revenue"),
