@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, language, licenses, simhash
+from tidemark.llm import contamination, exact, language, licenses, packing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(_table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.equal_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
