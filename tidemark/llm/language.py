@@ -15,13 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.chars import letter_codes, pieces
 from tidemark.llm.common import whole
 
 DIMENSIONS = 4096  # hashed n-grams; a power of two
@@ -29,18 +29,6 @@ CENTROIDS = 4  # per language
 SAMPLE = 4000  # learning rows the centroids are fitted on
 REJECT = 0.15  # a text is rejected below this share of the cosine that 99 of 100 sample texts reach
 UNKNOWN = "und"
-_PIECE = 1 << 20  # characters turned into n-grams at once
-
-
-@cache
-def _letters() -> np.ndarray:
-    """Code points to lower-case letters; everything else to a space."""
-    table = np.full(0x10000, 32, np.uint32)
-    for code in range(0x10000):
-        if chr(code).isalpha():
-            low = chr(code).lower()
-            table[code] = ord(low) if len(low) == 1 else code
-    return table
 
 
 def has_letter(text: str | None) -> bool:
@@ -49,15 +37,9 @@ def has_letter(text: str | None) -> bool:
 
 def ngram_counts(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray:
     """Counts of the hashed n-grams of the whole text."""
-    table, out = _letters(), np.zeros(dimensions, np.int64)
-    text = f" {text or ''} "
-    mask = np.uint32(dimensions - 1)
-    for at in range(0, len(text), _PIECE):
-        # Two characters of the piece before, so no n-gram is lost at the border.
-        codes = np.frombuffer(text[max(0, at - 2) : at + _PIECE].encode("utf-32-le"), np.uint32)
-        codes = np.where(codes < 0x10000, table[np.minimum(codes, 0xFFFF)], codes)
-        blank = codes == 32
-        codes = codes[~(blank & np.r_[False, blank[:-1]])]  # one space between words
+    out, mask = np.zeros(dimensions, np.int64), np.uint32(dimensions - 1)
+    for piece in pieces(text or ""):
+        codes = letter_codes(piece)
         grams = codes * np.uint32(2654435761)
         for n in (1, 2, 3):
             if n > 1:
