@@ -39,7 +39,7 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
 # Costs of the channel, as negative log probabilities.
-SWAPPED, DROPPED_SIGN, DROPPED_REPEAT, DROPPED_SPACE, KEPT_SPACE = 1.0, 7.0, 0.5, 0.2, 1.5
+SWAPPED, DROPPED_LEET, DROPPED_SIGN, DROPPED_REPEAT, DROPPED_SPACE, KEPT_SPACE = 1.0, 12.0, 2.5, 0.5, 0.2, 1.5
 _SIGNS = re.escape("".join(c for c in LEET if not c.isdigit()) + ".*-_~^")
 _SPACERS = " .*-_~"
 
@@ -106,7 +106,7 @@ def decode(token: str, model: np.ndarray) -> str:
         letters += [(other, SWAPPED) for other in LEET.get(c, "")]
         silent = DROPPED_REPEAT if run and c.isalpha() else None
         if not c.isalpha():
-            silent = DROPPED_SPACE if c in _SPACERS else DROPPED_SIGN
+            silent = DROPPED_SPACE if c in _SPACERS else DROPPED_LEET if c in LEET else DROPPED_SIGN
             if c in _SPACERS or c not in LEET:
                 letters.append((c, KEPT_SPACE))  # stays, as a word border
         after: dict[tuple[int, int], tuple[float, int]] = {}
