@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import contamination, exact, language, licenses, packing, quality, simhash, substrings, toxicity
+from tidemark.llm import contamination, exact, language, licenses, packing, quality, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.equal_groups(_table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
