@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import string
 import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import written
+
 
 def whole(col: str | Column) -> Column:
     """The whole text; NULL counts as empty."""
@@ -29,10 +33,19 @@ def fresh_name(df: DataFrame, stem: str) -> str:
 
 
 def numbered(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` with a unique row number, for rows that repeat.
-
-    The number is made of the scan's partition and the place in it.  Scans of stored
-    files give the same numbers each time, also when a lost task is run again.
-    """
+    """``df`` with a number per row, and its column's name; for plans that read it once."""
     name = fresh_name(df, "row")
     return df.withColumn(name, F.monotonically_increasing_id()), name
+
+
+def stably_numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a number per row that is the same each time the rows are read.
+
+    The number is made of the partition and the place in it.  A scan of stored files gives the
+    same ones again, also in a task that is run anew.  After a shuffle the places depend on
+    which blocks arrive first, so such an input is written to the shared folder before.
+    """
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain()
+    return numbered(written(df, "rows") if "Exchange" in plan.getvalue() else df)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import written
-from tidemark.llm.common import fresh_name, numbered, whole
+from tidemark.llm.common import fresh_name, stably_numbered, whole
 
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 4, 8, 9, 10), (0, 1, 3, 5, 9, 10))
 WINDOW, AGREE = 15, 12
@@ -94,7 +94,8 @@ def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _agreement(doc_at, doc_words, item_at, item_words, size) -> tuple[int, int, int]:
-    """Best agreement around a seed: words that agree, and the window's start and end from the seed on."""
+    """Around a seed: the most words that agree in a window, and the start and end, from the seed
+    on, of what the windows that agree enough cover."""
     left, right = min(doc_at, item_at), min(len(doc_words) - doc_at, len(item_words) - item_at)
     same = np.asarray(doc_words[doc_at - left : doc_at + right]) == np.asarray(item_words[item_at - left : item_at + right])
     width, needed = (WINDOW, AGREE) if size >= WINDOW else (size, size)
@@ -102,8 +103,8 @@ def _agreement(doc_at, doc_words, item_at, item_words, size) -> tuple[int, int,
         return 0, 0, 0
     total = np.r_[0, np.cumsum(same)]
     agree = total[width:] - total[:-width]
-    best = int(agree.argmax())
-    return (int(agree[best]), best - left, best - left + width) if agree[best] >= needed else (0, 0, 0)
+    enough = np.flatnonzero(agree >= needed)
+    return (int(agree.max()), int(enough[0]) - left, int(enough[-1]) - left + width) if len(enough) else (0, 0, 0)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -163,7 +164,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: s
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no leak of the benchmark."""
-    rows, row = numbered(docs)
+    rows, row = stably_numbered(docs)
     found = leaks(rows.select(F.col(row).alias("_row"), F.col(text).alias("_whole")), benchmark, "_row", "_whole", item_col, item_text)
     gone = fresh_name(rows, "gone")
     dirty = found.select(F.col("doc_id").alias(gone)).distinct()

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import written
-from tidemark.llm.common import fresh_name, numbered, whole
+from tidemark.llm.common import fresh_name, numbered, stably_numbered, whole
 
 # A chunk ends at the first line or sentence end after this many characters, or at the most.
 CHUNK_MIN, CHUNK_MAX = 512, 4096
@@ -74,7 +74,7 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts."""
-    rows, row = numbered(docs)
+    rows, row = stably_numbered(docs)
     listed = written(
         recipes(rows.select(F.col(id_col).alias("_id"), F.col(row).alias("_row"), F.col(text).alias("_whole")), ["_id", "_row"], "_whole"),
         "recipe-lists",

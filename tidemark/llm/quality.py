@@ -174,7 +174,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, pe
     log_odds = np.full(len(y), np.log(rate / (1 - rate)))
     for _ in range(trees):
         residual = y - 1 / (1 + np.exp(-log_odds))
-        part = np.sort(draw.choice(len(y), max(20, len(y) // 2), replace=False))
+        part = np.sort(draw.choice(len(y), min(len(y), max(20, len(y) // 2)), replace=False))
         grown: list[Rule] = []
         _grow(bins, cuts, residual, part, depth, (), grown)
         rules += grown
@@ -185,6 +185,8 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, pe
             p = 1 / (1 + np.exp(-log_odds[rows]))
             log_odds[rows] += 0.3 * np.clip(residual[rows].sum() / ((p * (1 - p)).sum() + 1), -4, 4)
     rules = list(dict.fromkeys(rules))
+    if not rules:  # too few rows to split
+        return Ensemble(float(np.log(rate / (1 - rate))), [])
     covered = np.stack([_covers(r, x) for r in rules], 1).astype(float)
     _, first = np.unique(covered, axis=1, return_index=True)  # rules that cover the same rows count once
     rules, covered = [rules[i] for i in sorted(first)], covered[:, sorted(first)]

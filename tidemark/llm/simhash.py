@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import written
-from tidemark.llm.common import fresh_name, numbered, whole
+from tidemark.llm.common import fresh_name, stably_numbered, whole
 from tidemark.llm.components import stars
 
 SHINGLE, BITS_APART, BLOCKS = 4, 4, 6
@@ -260,7 +260,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest id."""
-    rows, row = numbered(docs)
+    rows, row = stably_numbered(docs)
     ids = written(rows.select(F.col(row).alias("_row"), F.col(id_col).alias("_id")), "ids")
     found = near_components(rows.select(F.col(row).alias("_row"), F.col(text).alias("_whole")), "_row", "_whole")
     best = found.join(ids, found["doc_id"] == ids["_row"]).groupBy("component_id").agg(

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import written
-from tidemark.llm.common import numbered, whole
+from tidemark.llm.common import fresh_name, stably_numbered, whole
 from tidemark.llm.suffixes import common_prefixes, suffix_order
 
 LENGTH, GRAM, CROWD = 400, 32, 256
@@ -223,11 +223,12 @@ def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with ``_spans``, the repeated byte spans of each row or NULL, and its row number's name."""
-    docs, row = numbered(docs)
+    """``docs`` with the repeated byte spans of each row, or NULL, and the name of their column."""
+    column = fresh_name(docs, "spans")
+    docs, row = stably_numbered(docs)
     spans = repeated_spans(docs.select(F.col(row).alias("row"), whole(text).alias("text")))
-    per_row = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("_spans"))
-    return docs.join(per_row.withColumnRenamed("row", row), row, "left"), row
+    per_row = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias(column))
+    return docs.join(per_row.withColumnRenamed("row", row), row, "left"), column
 
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -239,8 +240,8 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
             [t if s is None else _kept(t.encode(), merged((x["lo"], x["hi"]) for x in s)).decode(errors="replace") for t, s in zip(texts, spans)], dtype=object
         )
 
-    found, row = with_spans(docs, text)
-    return found.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cut(whole(text), "_spans"))).select(*docs.columns)
+    found, spans = with_spans(docs, text)
+    return found.withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(cut(whole(text), spans))).select(*docs.columns)
 
 
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -259,5 +260,5 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
             out.append((len(data), sum(hi - lo for lo, hi in runs), len(runs), hashlib.sha256(_kept(data, runs)).hexdigest()))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found, _ = with_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")))
-    return found.select("doc_id", report(whole("text"), "_spans").alias("r")).select("doc_id", "r.*")
+    found, spans = with_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")))
+    return found.select("doc_id", report(whole("text"), spans).alias("r")).select("doc_id", "r.*")

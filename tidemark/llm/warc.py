@@ -34,7 +34,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from tidemark.functions.scratch import scratch_path
-from tidemark.llm.common import numbered, whole
+from tidemark.llm.common import stably_numbered, whole
 
 SCHEMA = (
     "record_id string, record_type string, url string, date string, page_id bigint, refers_to bigint, "
@@ -205,8 +205,8 @@ def records(source: pa.NativeFile, wants, payload: bool) -> Iterator[tuple[dict,
                 yield from _member(stream, known, wants, payload)
             else:
                 yield from _foreign_member(stream, wants, payload)
-        elif not start.strip(b"\r\n"):
-            stream.skip(len(start))
+        elif start[:1] in (b"\r", b"\n"):  # the empty lines after a record
+            stream.skip(1)
         else:
             yield from _bare(stream, wants, payload)
 
@@ -364,7 +364,7 @@ def write_pages(pages: DataFrame, path: str, least: int = 0, id_col: str = "page
     apart by their place, so exactly one of a group is the response.
     """
     columns = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), whole(html).alias("html"))
-    rows, row = numbered(columns)
+    rows, row = stably_numbered(columns)
     rows = rows.withColumnRenamed(row, "row").withColumns({"sha": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row"))
     best = rows.filter(F.col("size") >= least).groupBy("sha", "size").agg(first.alias("best"))
