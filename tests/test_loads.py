@@ -36,8 +36,9 @@ def test_upsert_twice_is_once(target, source):
 
 def test_upsert_needs_unique_keys_or_an_order(spark, target):
     twice = spark.createDataFrame([(2, "x", 5.0), (2, "y", 6.0)], PRODUCT)
-    with pytest.raises(loads.DuplicateSourceKey):
-        loads.load_upsert(target, twice, ["product_id"])
+    for load in (loads.load_upsert, lambda t, s, k: loads.load_upsert_partial(t, s, k, ["price"])):
+        with pytest.raises(Exception, match="several source rows"):
+            load(target, twice, ["product_id"]).collect()
     assert (2, "y", 6.0) in rows(loads.load_upsert(target, twice, ["product_id"], order_by=["price"]))
 
 
@@ -179,3 +180,67 @@ def test_late_facts_reach_only_their_days(spark):
     every, agg = loads.load_late_facts(wrong_but_untouched, fact, late)
     assert every.count() == 4
     assert rows(agg, "sale_date", "total_quantity") == [(date(2024, 12, 31), 1), (date(2025, 1, 1), 50), (date(2025, 1, 2), 5)]
+
+
+def test_a_repeated_scd2_key_fails(spark):
+    dim = _dim(spark, [(1, "a", 1.0)])
+    twice = spark.createDataFrame([(1, "b", 1.0), (1, "c", 1.0)], PRODUCT)
+    with pytest.raises(Exception, match="several source rows"):
+        loads.load_scd2_bulk(dim, twice, "product_id", TRACKED, date(2025, 1, 1)).collect()
+
+
+def test_a_repeated_natural_key_gets_one_surrogate(spark):
+    dim = spark.createDataFrame([(1, "a", 10)], "id int, name string, sk int")
+    new = spark.createDataFrame([(2, "y"), (2, "x"), (3, "z"), (1, "q")], "id int, name string")
+    assert rows(loads.dim_surrogate_key(dim, new, "id", "sk")) == [(1, "a", 10), (2, "x", 11), (3, "z", 12)]
+
+
+def test_null_partitions_are_merged(spark):
+    path = scratch_path(spark, "nulls")
+    schema = "id int, v string, part string"
+    writers.write_partitioned(spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, "c", None)], schema), path, "part")
+    source = spark.createDataFrame([(2, "B", None)], schema)
+    writers.rewrite_partitions(spark, path, "part", source, lambda stored, fresh: loads.load_upsert(stored, fresh, ["id"]))
+    assert rows(spark.read.schema(schema).parquet(path)) == [(1, "a", "x"), (2, "B", None), (3, "c", None)]
+
+
+def test_null_keys_stay_after_an_append(spark):
+    table = KeyedTable(spark, scratch_path(spark, "keyed-null"), ["id"])
+    table.publish(spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string"))
+    table.append(spark.createDataFrame([(1, "B")], "id int, v string"))
+    assert rows(table.current()) == rows(spark.createDataFrame([(None, "a"), (1, "B")], "id int, v string"))
+    table.append(spark.createDataFrame([(None, "A")], "id int, v string"))
+    assert rows(table.current(), "v") == [("A",), ("B",)]
+
+
+def test_untouched_partitions_keep_their_files(spark):
+    path = scratch_path(spark, "touch")
+    schema = "id int, part string"
+    writers.write_partitioned(spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], schema), path, "part")
+    files = lambda: {f.rsplit("/", 2)[1]: f for f in spark.read.parquet(path).inputFiles()}
+    before = files()
+    writers.rewrite_partitions(spark, path, "part", spark.createDataFrame([(4, "y")], schema), lambda stored, fresh: stored.unionByName(fresh))
+    after = files()
+    assert {p for p in before if before[p] != after[p]} == {"part=y"}
+    assert writers.drop_partitions(path, "part", lambda v: v < "y") == ["x"]
+    assert rows(spark.read.schema(schema).parquet(path)) == [(2, "y"), (3, "z"), (4, "y")]
+
+
+def test_facts_are_loaded_once_when_a_run_ends_before_the_watermark(spark, monkeypatch):
+    from datetime import datetime
+
+    table = lambda name: VersionedTable(spark, f"{root}/{name}")
+    root = scratch_path(spark, "crash")
+    source = spark.createDataFrame([(i, datetime(2025, 1, i)) for i in range(1, 9)], "id int, ts timestamp_ntz")
+    w = pipelines.Warehouse(table("s"), source.filter("id <= 4"), table("d"), table("f"), table("a"), table("c"), f"{root}/log")
+    w.facts.publish(source.limit(0))
+    w.control.publish(spark.createDataFrame([], "table_name string, last_load_timestamp timestamp_ntz, rows_loaded bigint, status string"))
+    stop = w.control.publish
+    w.control.publish = lambda df: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError):
+        pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20))
+    w.control.publish = stop
+    w.transactions = source  # more has come meanwhile
+    pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20))
+    assert rows(w.facts.current(), "id") == [(i,) for i in range(1, 9)]
+    assert pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20)) == 0

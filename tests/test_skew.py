@@ -84,7 +84,8 @@ def test_lead_growth_block_size_does_not_matter(shop):
 def test_positions_from_ranges_equal_positions_in_one_task(spark):
     df = spark.range(1000).select("id", (F.col("id") % 3).alias("v"))  # three values: every range boundary falls into a tie
     orders = [("a", [F.asc("v"), F.asc("id")]), ("b", [F.desc("v"), F.desc("id")])]
-    ranged, single = global_row_number(df, *orders, one_task_rows=0), global_row_number(df, *orders)
+    ranged = global_row_number(df, *orders)
+    single = df.select("*", *[F.row_number().over(W.orderBy(*by)).alias(name) for name, by in orders])
     assert rows(ranged) == rows(single)
     assert [r[0] for r in rows(ranged, "a")] == sorted(range(1, 1001), key=repr)
 
@@ -95,11 +96,21 @@ def test_tile_is_ntile(spark, n):
     assert df.filter(tile(F.col("p"), F.lit(n), 5) != F.col("want")).count() == 0
 
 
-def test_rfm_scores_over_ranges(shop, monkeypatch):
+def test_rfm_scores_equal_ntile(shop):
     t, _, _ = shop
-    single = rows(rfm_scores(t["orders"]))
-    monkeypatch.setitem(global_row_number.__kwdefaults__, "one_task_rows", 0)
-    assert rows(rfm_scores(t["orders"])) == single
+    got = rfm_scores(t["orders"])
+    base = got.select("customer_id", "last_order", "frequency", F.col("monetary").cast("decimal(22,2)").alias("monetary"))
+    orders = (("r_score", [F.desc("last_order")]), ("f_score", [F.asc("frequency")]), ("m_score", [F.asc("monetary")]))
+    want = base.select("customer_id", *[F.ntile(5).over(W.orderBy(*by, "customer_id")).alias(name) for name, by in orders])
+    assert rows(got, "customer_id", "r_score", "f_score", "m_score") == rows(want)
+
+
+def test_lead_in_blocks_with_null_keys_and_dates(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 5.0), (7, None, 2.0), (7, 1, 3.0), (7, 2, 4.0), (7, None, 6.0)], "k int, d int, v double")
+    df = df.withColumn("i", F.monotonically_increasing_id()).cache()
+    plain = df.withColumn("n", F.lead("v").over(W.partitionBy("k").orderBy("d", "i")))
+    cut = lead_in_blocks(df, "k", ["d", "i"], {"_d": F.col("d")}, "v", "n")
+    assert rows(cut, "k", "d", "v", "n") == rows(plain, "k", "d", "v", "n")
 
 
 @pytest.fixture(scope="module")
@@ -164,11 +175,12 @@ def test_not_in_follows_null_rules(spark, inner):
     assert rows(subqueries.not_in(outer, "k", sub, "s")) == rows(want)
 
 
-def test_hot_keys_are_not_bucketed(shop):
+def test_hot_keys_are_refused_when_asked(shop):
     t, _, _ = shop
     facts, dims = t["orders"], t["customer"]
     assert layouts.hottest_share(facts, "o_custkey") > 0.4
-    assert layouts.colocated_pair(facts, "o_custkey", dims, "c_custkey", 8) == (facts, dims)
+    with pytest.raises(layouts.HotKey):
+        layouts.colocated_pair(facts, "o_custkey", dims, "c_custkey", 8, max_share=0.25)
     assert rows(joins.join_colocated_hash(t)) == rows(joins.join_colocated_hash(t, buckets=2))
 
 

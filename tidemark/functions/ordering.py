@@ -9,29 +9,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.scratch import written
 
 
-# Up to this many narrow rows are sorted in one task rather than range-partitioned.
-ONE_TASK_ROWS = 500_000
-
-
-def global_row_number(
-    df: DataFrame, *numberings: tuple[str, list[Column]], rows: int | None = None, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def global_row_number(df: DataFrame, *numberings: tuple[str, list[Column]], stored: bool = False) -> DataFrame:
     """Add 1-based positions in total orders.
 
-    Each numbering is ``(name, order columns)``; the order must be total.  The input is
-    written out and counted, unless the caller has stored it and gives its ``rows``.  A
-    small one gets plain row numbers.  Otherwise rows are
+    Each numbering is ``(name, order columns)``; the order must be total.  Rows are
     range-partitioned, numbered inside each range, and shifted by the number of rows
     in the ranges before it, so no task ever holds the whole input.  The ranged rows
-    are written out too: the counts and the numbering have to see the same ranges.
+    are written out: the counts and the numbering have to see the same ranges.  So is
+    the input, unless the caller has ``stored`` it, as ranging reads it twice.
     """
-    spark = df.sparkSession
-    if rows is None:
-        df = written(df, "rank-input")
-        rows = df.count()
-    if rows <= one_task_rows:
-        return df.select("*", *[F.row_number().over(W.orderBy(*order)).alias(name) for name, order in numberings])
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df if stored else written(df, "rank-input")
     for name, order in numberings:
         ranged = written(
             df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), f"rank-{name}"
@@ -78,7 +66,7 @@ def lead_in_blocks(df: DataFrame, key: str, order: list[str], block: dict[str, C
         *[F.col(c).alias(f"_{c}") for c in names],
         F.lead("_head").over(W.partitionBy(key).orderBy(*block)).alias("_next_head"),
     )
-    match = [F.col(c) == F.col(f"_{c}") for c in names]
+    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
     return (
         df.withColumn("_next", F.lead(wrapped).over(inner))
         .join(heads, match, "left")

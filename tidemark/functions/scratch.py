@@ -37,12 +37,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for row work that costs far more than moving the rows.
-
-    Only an input with fewer splits than cores is moved; a large one stays where it is.
-    Meant for scans, whose number of splits is known without running anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -16,7 +16,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import EVENTS_AS_OF, ORDERS_AS_OF, back, day, micros, money, on, total
-from tidemark.functions.scratch import spread
 from tidemark.registry import registered
 from tidemark.sources.layouts import colocated_pair, replicated
 
@@ -108,7 +107,7 @@ def join_broadcast_segment(
     FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
     WHERE o.o_orderdate >= date '2001-07-02' GROUP BY 1
 """)
-def join_colocated_hash(t: Tables, as_of: date = ORDERS_AS_OF, days: int = 30, buckets: int = 8) -> DataFrame:
+def join_colocated_hash(t: Tables, as_of: date = ORDERS_AS_OF, days: int = 30, buckets: int | None = None) -> DataFrame:
     """Both sides are stored bucketed on the customer key, so neither is shuffled for the join."""
     facts, customers = colocated_pair(
         t["orders"].select("o_custkey", "o_orderdate", "o_totalprice"),
@@ -311,13 +310,12 @@ def join_multi_conditional(
 @registered("""
     SELECT o.o_orderkey AS order_id, cast(o.o_orderdate AS date) AS order_date,
            count(l.l_orderkey) AS item_count, sum(l.l_quantity) AS total_quantity
-    FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND l.l_returnflag = 'R'
+    FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
     WHERE o.o_orderdate >= date '2000-10-01' GROUP BY 1, 2
 """)
-def join_left_count(t: Tables, since=date(2000, 10, 1), flag: str = "R") -> DataFrame:
+def join_left_count(t: Tables, since=date(2000, 10, 1)) -> DataFrame:
     items = (
         t["lineitem"]
-        .filter(F.col("l_returnflag") == flag)
         .groupBy("l_orderkey")
         .agg(F.count("*").alias("item_count"), F.sum("l_quantity").alias("total_quantity"))
     )
@@ -339,14 +337,13 @@ def join_left_count(t: Tables, since=date(2000, 10, 1), flag: str = "R") -> Data
            count(DISTINCT o.o_orderkey) AS transaction_count,
            cast(sum(cast(o.o_totalprice AS decimal(12,2))) AS double) AS total_amount
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-    LEFT JOIN orders o ON c.c_custkey = o.o_custkey AND o.o_orderstatus = 'P'
+    LEFT JOIN orders o ON c.c_custkey = o.o_custkey
     GROUP BY 1, 2
 """)
-def join_left_two_level(t: Tables, status: str = "P") -> DataFrame:
+def join_left_two_level(t: Tables) -> DataFrame:
     """``user_count`` counts joined rows, as the statement does: a user with k orders counts k times."""
     spent = (
         t["orders"]
-        .filter(F.col("o_orderstatus") == status)
         .groupBy("o_custkey")
         .agg(
             F.count("*").alias("order_rows"),
@@ -419,9 +416,8 @@ def join_order_details(t: Tables) -> DataFrame:
 """)
 def join_self_using(t: Tables, key: str = "l_partkey") -> DataFrame:
     """Row count of a self join: a key with n rows contributes n * n, found without pairing rows."""
-    left = t["lineitem"].groupBy(key).agg(F.count("*").alias("n_left"))
-    right = t["lineitem"].groupBy(key).agg(F.count("*").alias("n_right"))
-    return left.join(right, on=[key]).agg(F.sum(F.col("n_left") * F.col("n_right")).alias("joined_rows"))
+    counts = t["lineitem"].filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    return counts.agg(F.sum(F.col("n") * F.col("n")).alias("joined_rows"))
 
 
 @registered("""
@@ -635,7 +631,7 @@ def join_lateral_array(t: Tables) -> DataFrame:
         F.struct(F.lit(1).alias("no"), F.col("l_partkey").alias("id"), F.col("l_quantity").alias("qty")),
         F.struct(F.lit(2).alias("no"), F.col("l_suppkey").alias("id"), F.col("l_linenumber").cast("double").alias("qty")),
     )
-    lines = spread(t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_linenumber"))
+    lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_linenumber")
     docs = lines.select(F.col("l_orderkey").alias("order_id"), F.to_json(items).alias("items"))
     parsed = F.from_json("items", "array<struct<no int, id bigint, qty double>>")
     return docs.select("order_id", F.explode(parsed).alias("item")).select(

@@ -20,19 +20,21 @@ from tidemark.functions.scratch import scratch_path
 END_OF_TIME = "9999-12-31"
 
 
-class DuplicateSourceKey(ValueError):
-    """The source has several rows for a key and nothing says which one counts."""
-
-
 def _others(df: DataFrame, keys: list[str]) -> list[str]:
     return [c for c in df.columns if c not in keys]
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    if not repeated.isEmpty():
-        raise DuplicateSourceKey(f"several source rows per {keys}; give an order column")
-    return df
+    """``df``, whose query fails when a key has several rows: nothing says which one counts.
+
+    The test is part of the plan, so the source is computed once.
+    """
+    rest = _others(df, keys)
+    rows = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.struct(*rest) if rest else F.lit(0)).alias("_row"))
+    several = F.raise_error(F.lit(f"several source rows per {keys}; give an order column"))
+    kind = rows.schema["_row"].dataType
+    checked = rows.withColumn("_row", F.when(F.col("_n") > 1, several.cast(kind)).otherwise(F.col("_row")))
+    return checked.select(*keys, *(["_row.*"] if rest else [])).select(*df.columns) if rest else checked.filter(F.col("_row") == 0).select(*keys)
 
 
 def dedup_keep_latest(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -87,7 +89,7 @@ def load_upsert(target: DataFrame, source: DataFrame, keys: list[str], order_by:
 
 def load_upsert_partial(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
     """Update only ``update_cols`` of existing keys (a NULL update stays NULL); insert new keys whole."""
-    require_unique(source, keys)
+    source = require_unique(source, keys)
     t, s = target.withColumn("_old", F.lit(True)).alias("t"), source.withColumn("_new", F.lit(True)).alias("s")
     columns = []
     for name in target.columns:
@@ -111,8 +113,8 @@ def load_scd2_bulk(
 ) -> DataFrame:
     """New state of a versioned dimension: closed, unchanged, and new versions.
 
-    ``dim`` carries ``valid_from``, ``valid_to`` and ``is_current``; ``source`` is unique
-    on the key.  Attributes are compared null-safe, so a change to or from NULL is a
+    ``dim`` carries ``valid_from``, ``valid_to`` and ``is_current``; a key that is repeated
+    in ``source`` fails the query.  Attributes are compared null-safe, so a change to or from NULL is a
     change, and a second run with the same source changes nothing.  History passes
     through without a shuffle; current rows meet the source in one full outer join.
     """
@@ -120,6 +122,7 @@ def load_scd2_bulk(
     end = F.lit(END_OF_TIME).cast(dim.schema["valid_to"].dataType)
     history, current = dim.filter(~F.col("is_current")), dim.filter("is_current")
     old = current.select(F.struct(*dim.columns).alias("_old"), F.col(key).alias("_old_key"))
+    source = require_unique(source.select(key, *tracked), [key])
     new = source.select(F.struct(key, *tracked).alias("_new"), F.col(key).alias("_new_key"))
     attributes = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in tracked])
     has_old, has_new = F.col("_old_key").isNotNull(), F.col("_new_key").isNotNull()
@@ -156,8 +159,11 @@ def load_scd2_one(dim: DataFrame, source: DataFrame, key: str, tracked: list[str
 
 
 def dim_surrogate_key(dim: DataFrame, source: DataFrame, natural_key: str, surrogate: str) -> DataFrame:
-    """Add source rows with unknown natural keys, numbered on from the largest surrogate key."""
-    fresh = source.join(dim.select(natural_key), natural_key, "left_anti")
+    """Add source rows with unknown natural keys, numbered on from the largest surrogate key.
+
+    A natural key that is repeated in the source gets one row, the smallest, and one number.
+    """
+    fresh = unknown_rows(dim, source, [natural_key])
     numbered = global_row_number(fresh, ("_position", [F.asc(natural_key)]))
     last = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
     added = numbered.withColumn(surrogate, (F.col("_position") + last).cast(dim.schema[surrogate].dataType))

@@ -140,7 +140,7 @@ def dq_rule_engine(df: DataFrame, rules: list[Rule] | DataFrame, table_name: str
 
 
 WEB_LOG_RULES = [
-    Rule("NULL values in required fields", "timestamp IS NULL OR response_code IS NULL", "FAIL", "rows without time or code"),
+    Rule("time or code is missing", "timestamp IS NULL OR response_code IS NULL", "FAIL", "rows without time or code"),
     Rule("HTTP code out of range", "response_code NOT BETWEEN 100 AND 599", "FAIL", "rows with an impossible code"),
     Rule("Negative response time", "response_time_ms < 0", "FAIL", "rows with a negative time"),
     Rule("Slow response", "response_time_ms > 10000", "WARNING", "rows slower than ten seconds"),

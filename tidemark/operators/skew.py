@@ -1,16 +1,17 @@
-"""How evenly a key spreads rows over storage segments."""
+"""How evenly a partition column spreads rows over the directories of a stored table."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import segment, share
-from tidemark.operators.windows import segment_counts
+from tidemark.functions.exprs import share
+from tidemark.functions.scratch import scratch_path
 from tidemark.registry import registered
+from tidemark.sources import writers
 
 Tables = Mapping[str, DataFrame]
 
@@ -20,20 +21,29 @@ def _all():
     return W.partitionBy()
 
 
-def live_partition_counts(df: DataFrame) -> DataFrame:
-    """Rows per current partition of ``df``: the layout as it is, not as a key would make it."""
-    return df.groupBy(F.spark_partition_id().alias("segment_id")).agg(F.count("*").alias("row_count"))
+def stored_counts(df: DataFrame, part: Column, *ranged: str) -> DataFrame:
+    """Rows per directory of ``df`` stored by ``part``, with the range of further columns.
+
+    The table is written and its directories are counted, so the report shows a placement
+    that exists.  At most one row per directory, small enough for a window over all of them.
+    """
+    path = scratch_path(df.sparkSession, "placed")
+    placed = df.select(*ranged, part.cast("int").alias("segment_id"))
+    stored = placed if ranged else placed.withColumn("present", F.lit(True))
+    writers.write_partitioned(stored, path, "segment_id")
+    bounds = [f(c).alias(f"{name}_{c}") for c in ranged for name, f in (("min", F.min), ("max", F.max))]
+    return df.sparkSession.read.schema(stored.schema).parquet(path).groupBy("segment_id").agg(F.count("*").alias("row_count"), *bounds)
 
 
 @registered("""
-    WITH s AS (SELECT cast(o_custkey % 8 AS integer) AS segment_id, count(*) AS row_count FROM orders GROUP BY 1)
+    WITH s AS (SELECT cast(strftime(o_orderdate, '%Y') AS integer) AS segment_id, count(*) AS row_count FROM orders GROUP BY 1)
     SELECT segment_id, row_count, round(1e2 * row_count / sum(row_count) OVER (), 2) AS percentage,
            round(1e2 * (row_count - avg(row_count) OVER ()) / avg(row_count) OVER (), 2) AS deviation_from_avg FROM s
 """)
-def skew_segments(t: Tables, key: str = "o_custkey", segments: int = 8) -> DataFrame:
+def skew_segments(t: Tables) -> DataFrame:
     average = F.avg("row_count").over(_all())
     return (
-        segment_counts(t["orders"], key, segments)
+        stored_counts(t["orders"], F.year("o_orderdate"))
         .withColumn("percentage", share(F.col("row_count"), F.sum("row_count").over(_all())))
         .withColumn("deviation_from_avg", share(F.col("row_count") - average, average))
     )
@@ -41,51 +51,51 @@ def skew_segments(t: Tables, key: str = "o_custkey", segments: int = 8) -> DataF
 
 @registered("""
     WITH s AS (SELECT o_orderstatus AS segment, count(*) AS row_count FROM orders GROUP BY 1),
-    p AS (SELECT cast(ascii(segment) % 8 AS integer) AS segment_id, sum(row_count)::bigint AS row_count FROM s GROUP BY 1)
+    p AS (SELECT cast(ascii(segment) AS integer) AS segment_id, sum(row_count)::bigint AS row_count FROM s GROUP BY 1)
     SELECT segment_id, row_count, round(1e2 * row_count / sum(row_count) OVER (), 2) AS percentage,
            CASE WHEN round(1e2 * row_count / sum(row_count) OVER (), 2) > 150.0 / count(*) OVER ()
                 THEN 'SKEW DETECTED' ELSE 'OK' END AS skew_status FROM p
 """)
-def skew_flag_150(t: Tables, segments: int = 8) -> DataFrame:
-    """A key with few values fills few segments; flagged above one and a half times the fair share."""
+def skew_flag_150(t: Tables) -> DataFrame:
+    """A key with few values fills few directories; flagged above one and a half times the fair share."""
     percentage = share(F.col("row_count"), F.sum("row_count").over(_all()))
     limit = F.lit(150.0) / F.count("*").over(_all())
     return (
-        segment_counts(t["orders"].select(F.ascii("o_orderstatus").alias("code")), "code", segments)
+        stored_counts(t["orders"], F.ascii("o_orderstatus"))
         .withColumn("percentage", percentage)
         .withColumn("skew_status", F.when(F.col("percentage") > limit, "SKEW DETECTED").otherwise("OK"))
     )
 
 
 @registered("""
-    WITH s AS (SELECT cast(l_suppkey % 8 AS integer) AS segment_id, count(*) AS row_count FROM lineitem GROUP BY 1)
+    WITH s AS (SELECT cast(strftime(l_shipdate, '%Y') AS integer) AS segment_id, count(*) AS row_count FROM lineitem GROUP BY 1)
     SELECT segment_id, row_count, round(1e2 * row_count / sum(row_count) OVER (), 2) AS percentage,
            CASE WHEN abs(row_count - avg(row_count) OVER ()) / avg(row_count) OVER () < 0.1::double THEN 'Balanced'
                 WHEN abs(row_count - avg(row_count) OVER ()) / avg(row_count) OVER () < 0.2::double THEN 'Minor skew'
                 ELSE 'Significant skew' END AS status FROM s
 """)
-def skew_bands(t: Tables, key: str = "l_suppkey", segments: int = 8) -> DataFrame:
+def skew_bands(t: Tables) -> DataFrame:
     average = F.avg("row_count").over(_all())
     off = F.abs(F.col("row_count") - average) / average
     # Below 10 % off the average is balanced, below 20 % minor.
     return (
-        segment_counts(t["lineitem"], key, segments)
+        stored_counts(t["lineitem"], F.year("l_shipdate"))
         .withColumn("percentage", share(F.col("row_count"), F.sum("row_count").over(_all())))
         .withColumn("status", F.when(off < 0.1, "Balanced").when(off < 0.2, "Minor skew").otherwise("Significant skew"))
     )
 
 
 @registered("""
-    WITH s AS (SELECT l_orderkey % 8 AS segment_id, count(*) AS row_count FROM lineitem GROUP BY 1)
+    WITH s AS (SELECT strftime(l_shipdate, '%Y') AS segment_id, count(*) AS row_count FROM lineitem GROUP BY 1)
     SELECT max(row_count) AS max_rows, min(row_count) AS min_rows, sum(row_count)::double / count(*) AS avg_rows,
            round(1e2 * (max(row_count) - min(row_count)) / (sum(row_count)::double / count(*)), 2) AS skew_percentage,
            round(1e2 * (max(row_count) - min(row_count)) / (sum(row_count)::double / count(*)), 2) < 10 AS ideal
     FROM s
 """)
-def skew_coefficient(t: Tables, key: str = "l_orderkey", segments: int = 8, target: float = 10.0) -> DataFrame:
+def skew_coefficient(t: Tables, target: float = 10.0) -> DataFrame:
     average = F.sum("row_count").cast("double") / F.count("*")
     return (
-        segment_counts(t["lineitem"], key, segments)
+        stored_counts(t["lineitem"], F.year("l_shipdate"))
         .agg(
             F.max("row_count").alias("max_rows"),
             F.min("row_count").alias("min_rows"),
@@ -97,12 +107,9 @@ def skew_coefficient(t: Tables, key: str = "l_orderkey", segments: int = 8, targ
 
 
 @registered("""
-    SELECT cast(o_custkey % 8 AS integer) AS segment_id, count(*) AS row_count, min(o_custkey) AS min_cust,
+    SELECT cast(strftime(o_orderdate, '%Y') AS integer) AS segment_id, count(*) AS row_count, min(o_custkey) AS min_cust,
            max(o_custkey) AS max_cust FROM orders GROUP BY 1
 """)
-def skew_key_range(t: Tables, segments: int = 8) -> DataFrame:
-    return (
-        t["orders"]
-        .groupBy(segment("o_custkey", segments).alias("segment_id"))
-        .agg(F.count("*").alias("row_count"), F.min("o_custkey").alias("min_cust"), F.max("o_custkey").alias("max_cust"))
-    )
+def skew_key_range(t: Tables) -> DataFrame:
+    counts = stored_counts(t["orders"], F.year("o_orderdate"), "o_custkey")
+    return counts.withColumnsRenamed({"min_o_custkey": "min_cust", "max_o_custkey": "max_cust"})

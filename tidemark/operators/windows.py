@@ -161,7 +161,7 @@ def rfm_scores(orders: DataFrame) -> DataFrame:
         ("_r", [F.desc("last_order"), F.asc("customer_id")]),
         ("_f", [F.asc("frequency"), F.asc("customer_id")]),
         ("_m", [F.asc("monetary"), F.asc("customer_id")]),
-        rows=rows,
+        stored=True,
     )
     return numbered.select(
         "customer_id",

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import jsondoc
 from tidemark.functions.exprs import money
-from tidemark.functions.scratch import spread
 from tidemark.operators import documents as docs
 from tidemark.operators.unions import stacked
 from tidemark.registry import registered
@@ -40,7 +39,7 @@ def order_documents(t) -> DataFrame:
     )
     endpoint = F.concat(F.lit("/api/orders/"), F.col("l_orderkey").cast("string"))
     lines = t["lineitem"].select("l_orderkey", "l_suppkey", "l_partkey", "l_quantity", "l_linenumber", "l_extendedprice")
-    return spread(lines).select(endpoint.alias("endpoint"), F.to_json(body).alias("body"))
+    return lines.select(endpoint.alias("endpoint"), F.to_json(body).alias("body"))
 
 
 def search_documents(t) -> DataFrame:
@@ -206,7 +205,7 @@ def xml_documents(t) -> DataFrame:
         key.alias("order_id"), F.col("o_custkey").alias("customer_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
         money("o_totalprice").alias("total"), F.col("o_orderstatus").alias("status"), F.struct(items.alias("item")).alias("items"),
     )
-    return spread(t["orders"]).select(key.alias("doc_id"), F.to_xml(body, {"rowTag": "order", "indent": ""}).alias("xml_content"))
+    return t["orders"].select(key.alias("doc_id"), F.to_xml(body, {"rowTag": "order", "indent": ""}).alias("xml_content"))
 
 
 _ITEMS_SQL = """

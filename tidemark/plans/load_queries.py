@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import day, mean, money, ntz, on, total
+from tidemark.functions.exprs import day, mean, money, months_back, ntz, on, total
 from tidemark.functions.scratch import scratch_path
 from tidemark.operators import loads
 from tidemark.operators.joins import with_customer
 from tidemark.plans import pipelines
 from tidemark.registry import registered
+from tidemark.sources import writers
 from tidemark.sources.writers import VersionedTable
 
 _ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
-# Keys not divisible by 3 are stored; even keys arrive, with a changed price.
+# Keys not divisible by 3 are stored; the others arrive, and even ones with a changed price.
 _SLICES = """
     WITH target AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0),
-    source AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0)
+    source AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)
 """
 
 
@@ -28,7 +30,7 @@ def _target(t) -> DataFrame:
 
 
 def _source(t) -> DataFrame:
-    changed = t["orders"].filter(F.col("o_orderkey") % 2 == 0)
+    changed = t["orders"].filter((F.col("o_orderkey") % 2 == 0) | (F.col("o_orderkey") % 3 == 0))
     return changed.select(
         "o_orderkey", "o_custkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice")
     )
@@ -252,23 +254,53 @@ _FACTS_SQL = """
 """
 
 
-@registered(_FACTS_SQL + _DAILY + " FROM f WHERE sale_date = date '2001-07-31' OR l_linenumber <> 2 GROUP BY 1, 2, 3")
-def agg_refresh_daily(t) -> DataFrame:
-    """The stored aggregate lacks every second line; one day is refreshed from the whole fact."""
+def _by_month(daily: DataFrame) -> DataFrame:
+    return daily.withColumn("sale_month", F.date_format("sale_date", "yyyy-MM"))
+
+
+def _stored_daily(daily: DataFrame) -> str:
+    """The daily aggregate as a table of months."""
+    path = scratch_path(daily.sparkSession, "daily")
+    return writers.write_partitioned(_by_month(daily), path, "sale_month")
+
+
+def _read_daily(spark, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(_by_month(like).schema).parquet(path).drop("sale_month")
+
+
+@registered(_FACTS_SQL + _DAILY + " FROM f GROUP BY 1, 2, 3")
+def agg_refresh_daily(t, refreshed: date = date(2001, 7, 31)) -> DataFrame:
+    """The stored aggregate lacks lines of one day; that day is refreshed from the whole fact.
+
+    Only the directory of the day's month is read and written.
+    """
     facts = sales_facts(t)
-    stored = loads.refresh_summary_table(loads.daily_sales(facts.filter(F.col("l_linenumber") != 2)))
-    return loads.agg_refresh_daily(stored, facts, date(2001, 7, 31))
+    today = F.col("sale_date") == on(refreshed)
+    early = loads.daily_sales(facts.filter(~today | (F.col("l_linenumber") != 2)))
+    path = _stored_daily(early)
+    writers.rewrite_partitions(
+        facts.sparkSession, path, "sale_month", _by_month(loads.daily_sales(facts.filter(today))),
+        lambda stored, fresh: stored.filter(~today).unionByName(fresh),
+    )
+    return _read_daily(facts.sparkSession, path, early)
 
 
 @registered(_FACTS_SQL + """
-    , late AS (SELECT DISTINCT sale_date FROM f WHERE l_linenumber = 7 AND sale_date >= date '2001-07-01')
-""" + _DAILY + """ FROM f WHERE l_linenumber <> 7 OR (sale_date IN (SELECT sale_date FROM late) AND sale_date >= date '2001-07-01') GROUP BY 1, 2, 3""")
+""" + _DAILY + " FROM f GROUP BY 1, 2, 3")
 def load_late_facts(t) -> DataFrame:
-    """The last line of each order of the final month arrives late."""
+    """The last lines of the orders of the final month arrive late; only the months they touch are rewritten."""
     facts = sales_facts(t)
-    last = F.col("l_linenumber") == 7
-    stored = loads.refresh_summary_table(loads.daily_sales(facts.filter(~last)))
-    return loads.load_late_facts(stored, facts.filter(~last), facts.filter(last & (F.col("sale_date") >= on("2001-07-01"))))[1]
+    is_late = (F.col("l_linenumber") == 7) & (F.col("sale_date") >= on("2001-07-01"))
+    on_time, late = facts.filter(~is_late), facts.filter(is_late)
+    early = loads.daily_sales(on_time)
+    path = _stored_daily(early)
+    days = late.select("sale_date").distinct()
+    touched = loads.daily_sales(facts.join(days, "sale_date", "left_semi"))
+    writers.rewrite_partitions(
+        facts.sparkSession, path, "sale_month", _by_month(touched),
+        lambda stored, fresh: stored.join(days, "sale_date", "left_anti").unionByName(fresh),
+    )
+    return _read_daily(facts.sparkSession, path, early)
 
 
 @registered("""
@@ -311,6 +343,7 @@ _MV_SQL = """
 
 
 def monthly_sales(t) -> DataFrame:
+    """Money stays decimal, so that months can be added up without losing cents."""
     places = t["customer"].join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
     return (
         t["lineitem"]
@@ -318,7 +351,7 @@ def monthly_sales(t) -> DataFrame:
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(day(F.date_trunc("month", "o_orderdate")).alias("month"), F.col("n_name").alias("country"), F.col("p_type").alias("category"))
         .agg(
-            F.count("*").alias("order_count"), total(money("l_extendedprice")).alias("total_revenue"),
+            F.count("*").alias("order_count"), F.sum(money("l_extendedprice")).alias("total_revenue"),
             mean(money("l_extendedprice")).alias("avg_order_value"), F.countDistinct("o_custkey").alias("unique_customers"),
         )
     )
@@ -326,7 +359,7 @@ def monthly_sales(t) -> DataFrame:
 
 @registered(_MV_SQL)
 def mv_monthly_sales(t) -> DataFrame:
-    return loads.refresh_summary_table(monthly_sales(t))
+    return loads.refresh_summary_table(monthly_sales(t)).withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 
 @registered("""
@@ -336,17 +369,22 @@ def mv_monthly_sales(t) -> DataFrame:
 """)
 def mv_query(t, since=date(2000, 6, 1)) -> DataFrame:
     """The report from the summary table; it equals the one from the fact."""
-    summary = mv_monthly_sales(t)
+    summary = loads.refresh_summary_table(monthly_sales(t))
     return (
         summary.filter(F.col("month") >= on(since)).groupBy("month", "country")
-        .agg(F.sum(F.col("total_revenue").cast("decimal(22,2)")).cast("double").alias("revenue"), F.sum("order_count").alias("orders"))
+        .agg(total(F.col("total_revenue")).alias("revenue"), F.sum("order_count").alias("orders"))
     )
 
 
 @registered("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE strftime(o_orderdate, '%Y-%m') >= '1999-08'")
 def part_drop_old(t, months: int = 24) -> DataFrame:
+    """The directories of old months are deleted; no row is read for it."""
+    spark = t["orders"].sparkSession
     rows = t["orders"].select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
-    return loads.part_drop_old(rows, "month", months, date(2001, 8, 1))
+    path = writers.write_partitioned(rows, scratch_path(spark, "months"), "month")
+    cutoff = months_back(date(2001, 8, 1), months).strftime("%Y-%m")
+    writers.drop_partitions(path, "month", lambda month: re.fullmatch(r"[0-9]{4}-[0-9]{2}", month) is not None and month < cutoff)
+    return spark.read.schema("o_orderkey bigint, month string").parquet(path)
 
 
 @registered("SELECT event_id, ts FROM events WHERE cast(ts AS date) >= date '2024-01-11'")
@@ -384,16 +422,17 @@ def pipe_staging_to_prod(t) -> DataFrame:
 
 @registered(_FACTS_SQL + """
     , g AS (SELECT sale_date, product_key, store_key, transaction_id, customer_id, quantity, total_amount FROM (
-        SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY sale_date DESC, product_key DESC, store_key DESC, customer_id DESC,
+        SELECT * REPLACE (transaction_id * 8 + l_linenumber AS transaction_id), row_number() OVER (PARTITION BY transaction_id, l_linenumber ORDER BY sale_date DESC, product_key DESC, store_key DESC, customer_id DESC,
                quantity DESC, total_amount DESC) AS rn FROM f WHERE sale_date <= date '2001-07-31') WHERE rn = 1)
 """ + _DAILY + " FROM g WHERE sale_date = date '2001-07-31' GROUP BY 1, 2, 3")
 def pipe_daily_etl(t) -> DataFrame:
-    """All facts arrive in one run; the last day is aggregated."""
+    """All facts arrive in one run, one per order line; the last day is aggregated."""
     spark = t["orders"].sparkSession
     root = scratch_path(spark, "daily")
     table = lambda name: VersionedTable(spark, f"{root}/{name}")
     columns = ["sale_date", "product_key", "store_key", "transaction_id", "customer_id", "quantity", "total_amount"]
-    facts = sales_facts(t).select(*columns, ntz("sale_date").alias("transaction_ts"))
+    lines = sales_facts(t).withColumn("transaction_id", F.col("transaction_id") * 8 + F.col("l_linenumber"))
+    facts = lines.select(*columns, ntz("sale_date").alias("transaction_ts"))
     w = pipelines.Warehouse(
         table("stg"), facts, table("dim"), table("fact"), table("agg"), table("control"), f"{root}/log"
     )

@@ -39,7 +39,7 @@ class RunLog:
         try:
             result = action()
         except Exception as error:
-            note("FAILED", None, None, str(error)[:1000])
+            note("FAILED", None, None, str(error))
             raise
         done, rejected = result if isinstance(result, tuple) else (result, 0)
         note("SUCCESS", done, rejected, None)
@@ -51,14 +51,50 @@ class RunLog:
         self.frame().coalesce(1).write.mode("append").parquet(path)
 
 
-def publish_counted(table: VersionedTable, df: DataFrame, append: bool = False) -> int:
-    """Store and count the written rows in the same pass."""
+def publish_counted(table: VersionedTable, df: DataFrame, append: bool = False, version: str | None = None) -> int:
+    """Store and count the written rows in the same pass; a version that is stored already adds none."""
+    if version is not None and version in table.versions():
+        return 0
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    table.append(counted) if append else table.publish(counted)
+    table.append(counted, version) if append else table.publish(counted, version)
     return seen.get["rows"]
 
 
+def _mark(control: DataFrame, table_name: str) -> str:
+    """The stored watermark as part of a directory name."""
+    row = control.filter(F.col("table_name") == table_name).select(F.date_format("last_load_timestamp", "yyyyMMddHHmmssSSSSSS")).first()
+    return row[0] if row and row[0] else "start"
+
+
+def load_new_facts(w: "Warehouse", ts: str, run_at: datetime, name: str = "fact_transactions") -> int:
+    """Append what came since the watermark, then move the watermark.
+
+    The appended version is named after the watermark before and after it.  A run that
+    ends between the two steps leaves a version that starts at the stored watermark; the
+    next run finds it, moves the watermark to its end, and goes on from there.
+    """
+    done = 0
+    while True:
+        before = _mark(w.control.current(), name)
+        left = [v for v in w.facts.versions() if v.startswith(f"facts-{before}-")]
+        if left:
+            until = datetime.strptime(left[0].rsplit("-", 1)[1], "%Y%m%d%H%M%S%f")
+            _, control = loads.since_watermark(w.transactions, w.control.current(), name, ts, min(until, run_at))
+            w.control.publish(control)
+            if _mark(w.control.current(), name) == before:
+                return done
+            continue
+        rows, control = loads.since_watermark(w.transactions, w.control.current(), name, ts, run_at)
+        after = _mark(control, name)
+        if after in (before, "start") or rows.isEmpty():
+            w.control.publish(control)
+            return done
+        done += publish_counted(w.facts, rows, append=True, version=f"facts-{before}-{after}")
+        w.control.publish(control)
+        return done
+
+
 def pipe_staging_to_prod(
     staging: VersionedTable,
     production: VersionedTable,
@@ -135,15 +171,7 @@ def pipe_daily_etl(
             ),
         )
 
-        def facts() -> int:
-            rows, control = loads.since_watermark(
-                w.transactions, w.control.current(), "fact_transactions", "transaction_ts", run_at
-            )
-            done = publish_counted(w.facts, rows, append=True)
-            w.control.publish(control)
-            return done
-
-        log.step("facts", facts)
+        log.step("facts", lambda: load_new_facts(w, "transaction_ts", run_at))
 
         def deduplicate() -> int:
             stored = w.facts.current()

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import money, on
-from tidemark.functions.scratch import spread
 from tidemark.operators import quality as dq
 from tidemark.registry import registered
 
@@ -44,7 +43,7 @@ def staged_sales(t) -> DataFrame:
     lines = t["lineitem"].select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"
     )
-    return spread(lines).select(
+    return lines.select(
         F.when(order % 40 == 0, F.concat(F.lit("x"), text(order))).when(order % 40 != 1, text(order)).alias("order_id"),
         text(supplier).alias("customer_id"),
         text(part).alias("product_id"),
@@ -150,7 +149,7 @@ def dq_rule_engine(t) -> DataFrame:
         (value * 100)::decimal(12,2)::bigint - 100 AS response_time_ms FROM events)
     SELECT 'web_logs' AS table_name, check_name, CASE WHEN n = 0 THEN 'PASS' ELSE severity END AS check_result, n AS issue_count,
            'Found ' || n || ' ' || txt AS check_details FROM (
-      SELECT 'NULL values in required fields' AS check_name, 'FAIL' AS severity, count(*) FILTER (WHERE timestamp IS NULL OR response_code IS NULL) AS n, 'rows without time or code' AS txt FROM logs
+      SELECT 'time or code is missing' AS check_name, 'FAIL' AS severity, count(*) FILTER (WHERE timestamp IS NULL OR response_code IS NULL) AS n, 'rows without time or code' AS txt FROM logs
       UNION ALL SELECT 'HTTP code out of range', 'FAIL', count(*) FILTER (WHERE response_code NOT BETWEEN 100 AND 599), 'rows with an impossible code' FROM logs
       UNION ALL SELECT 'Negative response time', 'FAIL', count(*) FILTER (WHERE response_time_ms < 0), 'rows with a negative time' FROM logs
       UNION ALL SELECT 'Slow response', 'WARNING', count(*) FILTER (WHERE response_time_ms > 10000), 'rows slower than ten seconds' FROM logs

@@ -36,9 +36,9 @@ def replicated(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
-def layout_random(df: DataFrame, n: int) -> DataFrame:
-    """Rows spread evenly over ``n`` partitions, whatever their values."""
-    return df.repartition(n)
+def layout_random(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows spread evenly over ``n`` partitions, by default the session's, whatever their values."""
+    return df.repartition(n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def hottest_share(df: DataFrame, key: str) -> float:
@@ -47,17 +47,26 @@ def hottest_share(df: DataFrame, key: str) -> float:
     return (row["top"] or 0) / row["rows"] if row["rows"] else 0.0
 
 
-def layout_hash(df: DataFrame, key: str, n: int, name: str | None = None, path: str | None = None) -> DataFrame:
+class HotKey(ValueError):
+    """One value of the key holds more rows than a bucket should."""
+
+
+def layout_hash(
+    df: DataFrame, key: str, n: int | None = None, name: str | None = None, path: str | None = None, max_share: float | None = None
+) -> DataFrame:
     """Store ``df`` in ``n`` buckets of ``key``, sorted by it, and return the stored table.
 
-    One task writes each bucket, unless a key would overfill its bucket: then every
-    task writes its own part of each bucket.
+    One task writes, and later reads, each bucket; by default there are as many as the
+    session has shuffle partitions.  A value with a large part of all rows does not suit
+    buckets: with ``max_share`` the keys are counted first, and one above it raises ``HotKey``.
     """
     spark = df.sparkSession
+    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_share is not None and (share := hottest_share(df, key)) > max_share:
+        raise HotKey(f"one value of {key} holds {share:.0%} of the rows; shuffle instead, so that it can be split")
     name = name or f"tidemark_{uuid.uuid4().hex}"
-    gathered = df if hottest_share(df, key) > 2 / n else df.repartition(n, key)
     (
-        gathered.write.bucketBy(n, key)
+        df.repartition(n, key).write.bucketBy(n, key)
         .sortBy(key)
         .option("path", path or scratch_path(spark, name))
         .saveAsTable(name)
@@ -66,14 +75,8 @@ def layout_hash(df: DataFrame, key: str, n: int, name: str | None = None, path:
 
 
 def colocated_pair(
-    facts: DataFrame, fact_key: str, dims: DataFrame, dim_key: str, n: int
+    facts: DataFrame, fact_key: str, dims: DataFrame, dim_key: str, n: int | None = None, max_share: float | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Both tables bucketed alike on the join key.
-
-    A bucket is read by one task, so a key with more than two buckets' worth of rows
-    must not be stored this way: then both inputs come back unchanged and the join
-    shuffles, with map-side aggregation and AQE skew handling to spread the hot key.
-    """
-    if hottest_share(facts, fact_key) > 2 / n:
-        return facts, dims
-    return layout_hash(facts, fact_key, n), layout_hash(dims, dim_key, n)
+    """Both tables bucketed alike on the join key."""
+    n = n or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return layout_hash(facts, fact_key, n, max_share=max_share), layout_hash(dims, dim_key, n)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
+from urllib.parse import unquote
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,14 +89,30 @@ def rewrite_partitions(
     written to scratch first, because a path cannot be overwritten while it is read.
     A key must not move to another partition; where it can, rewrite both.
     """
-    touched = sorted(str(row[0]) for row in source.select(part).distinct().collect())  # at most one per directory
-    if not touched:
+    values = [row[0] for row in source.select(F.col(part).cast("string")).distinct().collect()]  # at most one per directory
+    touched = sorted(v for v in values if v is not None)
+    if not values:
         return touched
-    stored = spark.read.schema(source.schema).parquet(path).filter(F.col(part).cast("string").isin(touched))
+    # Stated as literals, so that the scan opens these directories only; NULL has one as well.
+    here = F.col(part).cast("string").isin(touched) if touched else F.lit(False)
+    here = here | F.col(part).isNull() if None in values else here
+    stored = spark.read.schema(source.schema).parquet(path).filter(here)
     write_partitioned(written(merge(stored, source), "merge"), path, part, mode="overwrite")
     return touched
 
 
+def drop_partitions(path: str, part: str, old: Callable[[str], bool]) -> list[str]:
+    """Delete the directories of the partitions whose value ``old`` accepts; no row is read or written."""
+    system, root = fs.FileSystem.from_uri(path)
+    dropped = []
+    for entry in system.get_file_info(fs.FileSelector(root)):
+        name, _, value = entry.base_name.partition("=")
+        if entry.type == fs.FileType.Directory and name == part and old(unquote(value)):
+            system.delete_dir(entry.path)
+            dropped.append(unquote(value))
+    return sorted(dropped)
+
+
 class VersionedTable:
     """A table kept as directories, and a log that names the ones that make up its current state.
 
@@ -174,7 +193,10 @@ class KeyedTable(VersionedTable):
         if len(paths) == 1:
             return rows.drop("_seq")
         newest = rows.groupBy(*self.keys).agg(F.max("_seq").alias("_newest"))
-        return rows.join(newest, self.keys).filter(F.col("_seq") == F.col("_newest")).drop("_seq", "_newest")
+        newest = newest.withColumnsRenamed({k: f"_key_{k}" for k in self.keys})
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in self.keys])
+        current = rows.join(newest, same).filter(F.col("_seq") == F.col("_newest"))
+        return current.drop("_seq", "_newest", *[f"_key_{k}" for k in self.keys])
 
     def compact(self, version: str | None = None) -> str:
         return self.publish(self.current(), version)
