@@ -244,3 +244,33 @@ def test_facts_are_loaded_once_when_a_run_ends_before_the_watermark(spark, monke
     pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20))
     assert rows(w.facts.current(), "id") == [(i,) for i in range(1, 9)]
     assert pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20)) == 0
+
+
+def test_reports_read_the_log_a_pipeline_wrote(spark):
+    from datetime import timedelta
+
+    from tidemark.operators import reports
+
+    root = scratch_path(spark, "logged")
+    staging, production = VersionedTable(spark, f"{root}/s"), VersionedTable(spark, f"{root}/p")
+    staging.publish(spark.createDataFrame([(1, 5.0), (2, None)], "id int, price double"))
+    pipelines.pipe_staging_to_prod(staging, production, ["id"], f"{root}/log", drop_if=F.col("price").isNull())
+    t = {"run_log": spark.read.parquet(f"{root}/log")}
+    tomorrow = date.today() + timedelta(days=1)
+    history = {r.step_name: r for r in reports.rpt_etl_history(t, as_of=tomorrow).collect()}
+    assert set(history) == {"promote", "clear staging"} and all(r.status == "SUCCESS" for r in history.values())
+    (board,) = reports.rpt_load_dashboard(t, as_of=tomorrow).collect()
+    assert (board.total_loads, board.failed_loads, board.total_rows_loaded, board.total_rows_rejected) == (2, 0, 1, 1)
+    assert reports.rpt_load_anomalies(t, expected=("staging to production", "other"), as_of=tomorrow, hours=48).filter("alert_type = 'MISSING_LOAD'").count() == 1
+
+
+def test_a_step_that_is_not_required_lets_the_run_go_on(spark):
+    log = pipelines.RunLog(spark, "p")
+    long = "x" * 5000
+
+    def fails():
+        raise ValueError(long)
+
+    assert log.step("optional", fails, required=False) is False and log.step("next", lambda: 3) is True
+    assert [(r.step_name, r.status, r.rows_affected) for r in log.frame().collect()] == [("optional", "FAILED", None), ("next", "SUCCESS", 3)]
+    assert long in log.frame().first().error_message

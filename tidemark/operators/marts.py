@@ -117,18 +117,30 @@ def mart_sales_by_category(t: Tables) -> DataFrame:
         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         .select("s_suppkey", F.col("r_name").alias("region"))
     )
-    sums = (
+    amount, discount = price * (1 - rate), price * rate
+    # One row per order, category and region: an order has one date, so counting these rows
+    # counts orders.  The shuffle on the order key serves the join with the dates as well.
+    per_order = (
         t["lineitem"]
-        .join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(t["part"].select("p_partkey", F.col("p_type").alias("category")), F.col("l_partkey") == F.col("p_partkey"))
         .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("full_date", F.col("p_type").alias("category"), "region")
+        .select("l_orderkey", "category", "region", "l_quantity", amount.alias("amount"), discount.alias("discount"))
+        .repartition("l_orderkey")
+        .groupBy("l_orderkey", "category", "region")
         .agg(
-            F.countDistinct("l_orderkey").alias("transaction_count"),
-            F.sum("l_quantity").alias("total_quantity"),
-            total(price * (1 - rate)).alias("total_revenue"),
-            mean(price * (1 - rate)).alias("avg_transaction_amount"),
-            total(price * rate).alias("total_discount"),
+            F.sum("l_quantity").alias("quantity"),
+            F.sum("amount").alias("amount"), F.count("amount").alias("amounts"), F.sum("discount").alias("discount"),
+        )
+    )
+    sums = (
+        per_order.join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("full_date", "category", "region")
+        .agg(
+            F.count("*").alias("transaction_count"),
+            F.sum("quantity").alias("total_quantity"),
+            total(F.col("amount")).alias("total_revenue"),
+            (total(F.col("amount")) / F.sum("amounts")).alias("avg_transaction_amount"),
+            total(F.col("discount")).alias("total_discount"),
         )
     )
     # Calendar attributes depend on the date alone, so they are added to the aggregate.
@@ -243,15 +255,38 @@ def rfm_segment() -> Column:
     return F.coalesce(*fits)
 
 
-_SEGMENT_SQL = (
-    RFM_SQL
+def _segment_case() -> str:
+    """The same rows as a CASE of the oracle."""
+    named = zip(("r_score", "f_score", "m_score"), (1, 2, 3))
+    columns = list(named)
+    tests = [f"WHEN {' AND '.join(f'{c} BETWEEN {row[i][0]} AND {row[i][1]}' for c, i in columns)} THEN '{row[0]}'" for row in RFM_SEGMENTS]
+    return f"CASE {' '.join(tests)} END"
+
+
+_SEGMENT_SQL = RFM_SQL + f", seg AS (SELECT *, {_segment_case()} AS customer_segment FROM scores)"
+
+
+@registered(
+    _SEGMENT_SQL
     + """
-    , seg AS (SELECT *, CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
-        WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal Customers' WHEN r_score >= 4 AND f_score <= 2 THEN 'New Customers'
-        WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk' WHEN r_score <= 2 AND f_score <= 2 THEN 'Lost'
-        ELSE 'Regular' END AS customer_segment FROM scores)
-"""
+    SELECT customer_id, last_order, cast(datediff('day', last_order, date '2001-08-01') AS integer) AS recency_days, frequency, monetary,
+           r_score, f_score, m_score, cast(r_score + f_score + m_score AS integer) AS total_score, customer_segment FROM seg
+    """
 )
+def mart_customer_rfm(t: Tables, as_of: date = ORDERS_AS_OF) -> DataFrame:
+    """One row per customer: recency, the three scores, their sum and the segment."""
+    return rfm_scores(t["orders"]).select(
+        "customer_id",
+        "last_order",
+        F.datediff(on(as_of), "last_order").alias("recency_days"),
+        "frequency",
+        "monetary",
+        "r_score",
+        "f_score",
+        "m_score",
+        (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("total_score"),
+        rfm_segment().alias("customer_segment"),
+    )
 
 
 @registered(

@@ -27,21 +27,43 @@ _LOG_SQL = """
 """
 
 
-def run_log(t: Tables) -> DataFrame:
+def event_log(t: Tables) -> DataFrame:
+    """Events read as rows of a run log, in the columns that the pipelines write."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     failed = k % 10 == 0
     seconds = F.floor("value").cast("bigint")
     return t["events"].select(
         F.col("event_id").alias("run_id"),
-        F.col("event_type").alias("table_name"),
+        F.col("event_type").alias("process_name"),
         F.concat(F.lit("step_"), (F.col("user_id") % 4).cast("string")).alias("step_name"),
         F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        (k * 100).alias("rows_loaded"),
+        (k * 100).alias("rows_affected"),
         (F.col("user_id") % 7).alias("rows_rejected"),
-        F.col("ts").alias("load_start"),
-        seconds.alias("seconds"),
-        (F.col("ts") + F.make_dt_interval(secs=seconds)).cast("timestamp_ntz").alias("load_end"),
         F.when(failed, F.concat(F.lit("code "), k.cast("string"))).alias("error_message"),
+        F.col("ts").alias("start_time"),
+        (F.col("ts") + F.make_dt_interval(secs=seconds)).cast("timestamp_ntz").alias("end_time"),
+        seconds.alias("duration_seconds"),
+    )
+
+
+def run_log(t: Tables) -> DataFrame:
+    """The log the reports read: the table ``run_log``, as pipelines write it, or else the events.
+
+    A log without ``run_id`` gets one made of what tells its rows apart.
+    """
+    log = t["run_log"] if "run_log" in t else event_log(t)
+    run_id = F.col("run_id") if "run_id" in log.columns else F.xxhash64("process_name", "step_name", "start_time")
+    return log.select(
+        run_id.alias("run_id"),
+        F.col("process_name").alias("table_name"),
+        "step_name",
+        "status",
+        F.col("rows_affected").alias("rows_loaded"),
+        "rows_rejected",
+        F.col("start_time").cast("timestamp_ntz").alias("load_start"),
+        F.col("duration_seconds").alias("seconds"),
+        F.col("end_time").cast("timestamp_ntz").alias("load_end"),
+        "error_message",
     )
 
 

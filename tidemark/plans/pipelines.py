@@ -28,7 +28,9 @@ class RunLog:
     process: str
     rows: list[tuple] = field(default_factory=list)
 
-    def step(self, name: str, action: Callable[[], tuple[int, int] | int | None]) -> None:
+    def step(self, name: str, action: Callable[[], tuple[int, int] | int | None], required: bool = True) -> bool:
+        """Run and log one step.  A failed one ends the run, unless it is not ``required``: then the
+        run goes on and False is returned."""
         start = datetime.now(timezone.utc)
 
         def note(status: str, done: int | None, rejected: int | None, error: str | None) -> None:
@@ -40,9 +42,12 @@ class RunLog:
             result = action()
         except Exception as error:
             note("FAILED", None, None, str(error))
-            raise
+            if required:
+                raise
+            return False
         done, rejected = result if isinstance(result, tuple) else (result, 0)
         note("SUCCESS", done, rejected, None)
+        return True
 
     def frame(self) -> DataFrame:
         return self.spark.createDataFrame(self.rows, LOG_SCHEMA)
