@@ -120,10 +120,10 @@ def st_upsert(t) -> DataFrame:
            CASE WHEN p_partkey % 3 = 0 THEN date '2025-01-01' ELSE date '9999-12-31' END AS valid_to, p_partkey % 3 <> 0 AS is_current
     FROM part WHERE p_partkey % 2 = 0
     UNION ALL SELECT p_partkey, p_type, p_retailprice + 2, date '2025-01-01', date '9999-12-31', true FROM part WHERE p_partkey % 3 = 0
-    UNION ALL SELECT p_partkey, p_type, p_retailprice, date '2025-01-01', date '9999-12-31', true FROM part WHERE p_partkey % 2 <> 0 AND p_partkey % 3 <> 0 AND p_partkey % 5 = 0
+    UNION ALL SELECT p_partkey, p_type, p_retailprice, date '2025-01-01', date '9999-12-31', true FROM part WHERE p_partkey % 2 <> 0 AND p_partkey % 3 <> 0
 """)
 def st_cdc_scd2(t) -> DataFrame:
-    """Even products are known.  Products divisible by three change their price twice; some unknown ones appear."""
+    """Even products are known.  Products divisible by three change their price twice; the unknown ones appear."""
     root, spark = _root(t, "cdc"), t.spark
     key, price = F.col("p_partkey"), F.col("p_retailprice")
     columns = [key.alias("product_id"), F.col("p_type").alias("category"), price.alias("price")]
@@ -134,7 +134,7 @@ def st_cdc_scd2(t) -> DataFrame:
         )
     )
     steps = F.when(key % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
-    changes = t["part"].filter((key % 3 == 0) | ((key % 2 != 0) & (key % 5 == 0))).select(*columns, F.explode(steps).alias("seq"))
+    changes = t["part"].filter((key % 3 == 0) | (key % 2 != 0)).select(*columns, F.explode(steps).alias("seq"))
     changes.withColumn("price", F.col("price") + F.col("seq")).write.parquet(f"{root}/feed")
     stream = streams.file_stream(spark, f"{root}/feed", "product_id bigint, category string, price double, seq int")
     streams.st_cdc_scd2(
