@@ -15,7 +15,7 @@ from tidemark.registry import catalog
 from tidemark.sources import layouts, writers
 
 ENTRIES = catalog()
-LAZY = sorted(n for n in ENTRIES if n.split("_")[0] in {"flt", "prj", "join", "sub", "agg", "win", "top", "sort", "limit", "union", "mart", "skew", "rpt"})
+LAZY = sorted(n for n in ENTRIES if n.split("_")[0] in {"flt", "prj", "join", "sub", "agg", "win", "top", "sort", "limit", "union", "mart", "skew", "rpt", "dq", "json", "xml"})
 
 
 def plan(df) -> str:
@@ -70,3 +70,8 @@ def test_latest_row_is_aggregated_before_the_shuffle(tables):
 
 def test_top_k_is_not_a_global_sort(tables):
     assert "TakeOrderedAndProject" in plan(ENTRIES["top_hot_keys"].run(tables))
+
+
+@pytest.mark.parametrize(("name", "scans"), [("dq_report", 1), ("dq_web_log_checks", 1), ("join_self_using", 1), ("json_contains", 3)])
+def test_tables_are_read_once(name, scans, tables):
+    assert plan(ENTRIES[name].run(tables)).count("Location: ") == scans

@@ -73,20 +73,27 @@ def dq_range_checks(df: DataFrame, ranges: dict[str, Column]) -> DataFrame:
     return df.agg(*[F.count_if(condition).alias(name) for name, condition in ranges.items()])
 
 
-def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The number of keys held by more than one row, as a one-row frame."""
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    return repeated.agg(F.count("*").alias("duplicates"))
+def counted_once(df: DataFrame, conditions: dict[str, Column], keys: list[str] | None) -> DataFrame:
+    """One row: ``rows``, a count per condition and, with ``keys``, the ``duplicates`` among them.
+
+    One scan and at most one shuffle: the conditions are counted per key, where the
+    duplicates show, and then added up.
+    """
+    counts = [F.count_if(c).alias(name) for name, c in conditions.items()]
+    if not keys:
+        return df.agg(F.count("*").alias("rows"), *counts)
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("rows"), *counts)
+    added = [F.coalesce(F.sum(name), F.lit(0).cast("bigint")).alias(name) for name in ("rows", *conditions)]
+    return per_key.agg(*added, F.count_if(F.col("rows") > 1).alias("duplicates"))
 
 
 def dq_report(df: DataFrame, checks: dict[str, Column], keys: list[str]) -> DataFrame:
-    """check_name / result rows: the total, one count per check (one scan), and duplicate keys."""
+    """check_name / result rows: the total, one count per check, and duplicate keys, in one scan."""
     names = ["Total Rows", *checks]
-    counts = df.agg(F.count("*").alias("c0"), *[F.count_if(c).alias(f"c{i}") for i, c in enumerate(checks.values(), 1)])
-    rows = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").cast("string").alias("result")) for i, n in enumerate(names)])
-    repeated = duplicated_keys(df, keys)
-    duplicates = repeated.select(F.lit("Duplicates").alias("check_name"), F.col("duplicates").cast("string").alias("result"))
-    return counts.select(F.inline(rows)).unionByName(duplicates)
+    counts = counted_once(df, {f"c{i}": c for i, c in enumerate(checks.values(), 1)}, keys)
+    columns = ["rows", *[f"c{i}" for i in range(1, len(names))], "duplicates"]
+    rows = [F.struct(F.lit(n).alias("check_name"), F.col(c).cast("string").alias("result")) for n, c in zip([*names, "Duplicates"], columns)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 @dataclass(frozen=True)
@@ -107,28 +114,18 @@ def rules_from_table(rules: DataFrame) -> list[Rule]:
 def dq_rule_engine(df: DataFrame, rules: list[Rule] | DataFrame, table_name: str, unique: list[str] | None = None) -> DataFrame:
     """All rules in one aggregate over the data; result rows ready to append to a check history.
 
-    ``unique`` adds a duplicate-key check, which needs a shuffle of its own.
+    ``unique`` adds a duplicate-key check; its shuffle carries the other counts along.
     """
     rules = rules_from_table(rules) if isinstance(rules, DataFrame) else rules
-    counts = df.agg(*[F.count_if(F.expr(rule.bad)).alias(f"r{i}") for i, rule in enumerate(rules)])
-    found = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(rule.name).alias("check_name"), F.lit(rule.severity).alias("severity"),
-                    F.lit(rule.details).alias("text"), F.col(f"r{i}").alias("issue_count"),
-                )
-                for i, rule in enumerate(rules)
-            ]
-        )
-    )
-    results = counts.select(found)
+    counts = counted_once(df, {f"r{i}": F.expr(rule.bad) for i, rule in enumerate(rules)}, unique)
+    rows = [(rule.name, rule.severity, rule.details, f"r{i}") for i, rule in enumerate(rules)]
     if unique:
-        repeated = duplicated_keys(df, unique).select(
-            F.lit(f"Duplicate {', '.join(unique)}").alias("check_name"), F.lit("FAIL").alias("severity"),
-            F.lit("keys occur more than once").alias("text"), F.col("duplicates").alias("issue_count"),
-        )
-        results = results.unionByName(repeated)
+        rows.append((f"Duplicate {', '.join(unique)}", "FAIL", "keys occur more than once", "duplicates"))
+    found = [
+        F.struct(F.lit(n).alias("check_name"), F.lit(s).alias("severity"), F.lit(d).alias("text"), F.col(c).alias("issue_count"))
+        for n, s, d, c in rows
+    ]
+    results = counts.select(F.inline(F.array(*found)))
     clean = F.col("issue_count") == 0
     return results.select(
         F.lit(table_name).alias("table_name"),

@@ -94,11 +94,10 @@ def json_contains(t) -> DataFrame:
         "item 7": {"items": [{"id": 7}]},
         "brand 2": {"filters": {"brands": ["Brand#2"]}},
     }
-    every = api_documents(t)
-    return stacked(
-        [docs.json_contains(every, "body", literal).select(F.lit(name).alias("question"), "endpoint")
-         for name, literal in questions.items()]
-    )
+    """Each document is read and parsed once and answers every question."""
+    parsed = api_documents(t).select("endpoint", F.try_parse_json("body").alias("doc"))
+    answers = F.array_compact(F.array(*[F.when(jsondoc.contains(F.col("doc"), literal), F.lit(name)) for name, literal in questions.items()]))
+    return parsed.select(F.explode(answers).alias("question"), "endpoint")
 
 
 @registered("SELECT '/api/search/' || p_partkey AS endpoint, p_size AS results FROM part WHERE p_type = 'PROMO'")
