@@ -38,6 +38,8 @@ def word_count(text: str | Column) -> Column:
     """Words between ASCII white space; 0 for NULL."""
     return F.regexp_count(whole(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
 
+_RANKS = 1 << 40  # more than there are pieces of one length
+
 
 @dataclass
 class _Bins:
@@ -162,25 +164,23 @@ def place(plan: Plan):
 
     The plan's tables are bounded by the largest capacity, not by the data.
     """
-    runs = np.array(sorted((r[0], r[1], *r[2:]) for r in plan.runs), np.int64).reshape(-1, 6)
+    runs = np.array(sorted(plan.runs), np.int64).reshape(-1, 6)
     bins = np.array(plan.bins, np.int64).reshape(-1, 4)
-    starts = {}
-    for length in np.unique(runs[:, 0]):
-        starts[int(length)] = runs[runs[:, 0] == length]
+    starts = runs[:, 0] * _RANKS + runs[:, 1]  # ascending, as the runs are sorted
 
     @F.pandas_udf("bin_id bigint, bin_offset bigint, bin_size bigint")
     def udf(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
+        length, rank = lengths.to_numpy(np.int64), ranks.to_numpy(np.int64)
         out = pd.DataFrame({"bin_id": pd.NA, "bin_offset": pd.NA, "bin_size": pd.NA}, index=lengths.index, dtype="Int64")
-        for length, rank in ranks.groupby(lengths):
-            if length not in starts:
-                continue
-            mine = starts[length]
-            run = mine[np.searchsorted(mine[:, 1], rank.to_numpy(), side="right") - 1]
-            nth = rank.to_numpy() - run[:, 1]
+        some = length > 0
+        if some.any():
+            length, rank = length[some], rank[some]
+            run = runs[np.searchsorted(starts, length * _RANKS + rank, side="right") - 1]
+            nth = rank - run[:, 1]
             number = run[:, 3] + nth // run[:, 2]
-            out.loc[rank.index, "bin_id"] = number
-            out.loc[rank.index, "bin_offset"] = run[:, 4] + nth % run[:, 2] * length
-            out.loc[rank.index, "bin_size"] = bins[np.searchsorted(bins[:, 0], number, side="right") - 1, 3]
+            out.loc[some, "bin_id"] = number
+            out.loc[some, "bin_offset"] = run[:, 4] + nth % run[:, 2] * length
+            out.loc[some, "bin_size"] = bins[np.searchsorted(bins[:, 0], number, side="right") - 1, 3]
         return out
 
     return udf
