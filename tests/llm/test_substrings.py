@@ -39,7 +39,7 @@ def planted():
     return rows
 
 
-@pytest.mark.parametrize("crowd", [256, 2, 1])
+@pytest.mark.parametrize("crowd", [256, 3, 1])
 def test_equals_brute_force_on_either_side_of_the_crowd_limit(spark, monkeypatch, crowd):
     monkeypatch.setattr(substrings, "CROWD", crowd)
     got = substrings.removal_report(spark.createDataFrame(planted(), "doc_id bigint, text string").repartition(4))

@@ -9,16 +9,18 @@ have equal anchors.  Neighbouring windows with the same anchor form a cell.
 * A cell that occurs twice with the same bytes is repeated as a whole.
 * The other cells of an anchor are written one after another, together with those of other
   anchors, and suffix-sorted: neighbours in suffix order with ``LENGTH`` common bytes are repeated.
-* An anchor with more than ``CROWD`` different cells would need one large sort; its windows are
-  compared by 128-bit hashes instead, one row per window, so that many tasks share them.
+* An anchor with more than ``CROWD`` different cells would need one large sort.  Its cells are cut
+  into parts that hold more of their bytes in common, and the same is done with those: parts
+  that occur twice are repeated, few kinds are sorted, many are cut again, at last into windows.
 
-All four are exact but for collisions of 128-bit hashes.
+All four are exact but for collisions of hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,7 @@ from tidemark.llm.common import fresh_name, stably_numbered, whole
 from tidemark.llm.suffixes import common_prefixes, suffix_order
 
 LENGTH, GRAM, CROWD = 400, 32, 256
+WIDTHS = (46, 6, 1)  # windows in a part of a crowded cell, from round to round
 _PIECE = 1 << 20  # window starts looked at together
 _SORT = 1 << 18  # bytes suffix-sorted together, and one anchor more
 _P, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
@@ -96,13 +99,24 @@ def _cell_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The bytes of the wanted cells of each text."""
+    names = ["anchor", "row", "start", "n", "once", "crowded", "middle", "bytes"]
     for batch in batches:
+        out, size = [], 0
         for row, text, wanted in zip(batch["row"], batch["text"], batch["wanted"]):
             data = text.encode()
-            yield pd.DataFrame(
-                [(w["anchor"], row, w["start"], w["n"], w["once"], w["crowded"], data[w["start"] : w["start"] + w["n"] - 1 + LENGTH]) for w in wanted],
-                columns=["anchor", "row", "start", "n", "once", "crowded", "bytes"],
-            )
+            for w in wanted:
+                start, n = w["start"], w["n"]
+                piece = data[start : start + n - 1 + LENGTH]
+                # Where the anchor lies: the leftmost place with its hash.
+                found = _gram_hashes(np.frombuffer(piece, np.uint8), GRAM).view(np.int64) == w["anchor"] if w["crowded"] else None
+                middle = 0 if found is None else int(found.argmax())
+                out.append((w["anchor"], row, start, n, w["once"], w["crowded"], middle, piece))
+                size += n + LENGTH
+            if size > 8 * _PIECE:
+                yield pd.DataFrame(out, columns=names)
+                out, size = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
 
 def _runs(where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,12 +170,64 @@ def _sort_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _sort_cells(pd.concat(held, ignore_index=True))
 
 
-def _window_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row, start, n, once, data in zip(batch["row"], batch["start"], batch["n"], batch["once"], batch["bytes"]):
-            digests = b"".join(xxhash.xxh3_128_digest(data[k : k + LENGTH]) for k in range(n))
-            pair = np.frombuffer(digests, "<i8").reshape(-1, 2)
-            yield pd.DataFrame({"w1": pair[:, 0], "w2": pair[:, 1], "row": row, "lo": start + np.arange(n), "once": once})
+def _narrower(width: int):
+    """Splits crowded cells where their windows lie around the anchor, ``width`` places to a part.
+
+    The windows of a part all hold the same bytes around the anchor, but for ``width - 1``; those
+    bytes make the part's own anchor.  Equal windows lie equally around equal anchors, so they
+    meet in the same part; others are told apart by more and more of their bytes.
+    """
+
+    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["anchor", "d1", "d2", "row", "start", "n", "once", "middle", "bytes"]
+        for batch in batches:
+            out = []
+            for row, start, n, once, middle, data in zip(batch["row"], batch["start"], batch["n"], batch["once"], batch["middle"], batch["bytes"]):
+                k = 0
+                while k < n:
+                    part = (middle - k) // width
+                    to = min(n, middle - part * width + 1)  # the last window of the part, and one more
+                    core = data[middle - part * width : middle + GRAM + max(0, LENGTH - GRAM - (part * width + width - 1))]
+                    piece = data[k : to - 1 + LENGTH]
+                    d = xxhash.xxh3_128_digest(piece)
+                    anchor = int.from_bytes(xxhash.xxh3_64_digest(core + b"%d/%d" % (part, width)), "little", signed=True)
+                    out.append((anchor, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), row, start + k, to - k, once, middle - k, piece))
+                    k = to
+                if len(out) > 10_000:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    return narrow
+
+
+_SPANS = "row bigint, lo int, hi int"
+
+
+def _sorted_spans(cells_: DataFrame) -> DataFrame:
+    return cells_.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_sort_batches, _SPANS)
+
+
+def _crowded_spans(crowd: DataFrame) -> list[DataFrame]:
+    """Spans of repeated windows in cells whose anchor has too many kinds to sort together."""
+    out = []
+    for width in WIDTHS:
+        if crowd.isEmpty():
+            break
+        schema = "anchor bigint, d1 bigint, d2 bigint, row bigint, start int, n int, once boolean, middle int, bytes binary"
+        parts = written(crowd.mapInPandas(_narrower(width), schema), "narrower-cells")
+        cell = ["anchor", "d1", "d2"]
+        counts = parts.groupBy(*cell).agg(F.count("*").alias("occurs"), F.min(F.struct("row", "start")).alias("at"))
+        kinds = counts.groupBy("anchor").agg(F.count("*").alias("kinds"))
+        told = parts.join(counts, cell).join(kinds, "anchor")
+        several = F.col("occurs") > 1
+        out.append(told.filter(several & F.col("once")).select("row", F.col("start").alias("lo"), (F.col("start") + F.col("n") - 1 + LENGTH).alias("hi")))
+        # One of each kind goes on; a kind that repeats is only there to be compared with.
+        each = told.filter(~several | (F.struct("row", "start") == F.col("at"))).withColumn("once", F.col("once") & ~several)
+        out.append(_sorted_spans(each.filter((F.col("kinds") > 1) & (F.col("kinds") <= CROWD))))
+        crowd = each.filter(F.col("kinds") > CROWD)
+    return out
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -192,15 +258,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     )
     texts = rows.join(wanted.groupBy("row").agg(F.collect_list("w").alias("wanted")), "row")
     cut = written(
-        texts.mapInPandas(_cut, "anchor bigint, row bigint, start int, n int, once boolean, crowded boolean, bytes binary"), "cell-bytes"
-    )
-    sorted_ = (
-        cut.filter(~F.col("crowded")).repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_sort_batches, "row bigint, lo int, hi int")
+        texts.mapInPandas(_cut, "anchor bigint, row bigint, start int, n int, once boolean, crowded boolean, middle int, bytes binary"), "cell-bytes"
     )
-    windows = cut.filter("crowded").mapInPandas(_window_hashes, "w1 bigint, w2 bigint, row bigint, lo int, once boolean")
-    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("times")).filter("times > 1").select("w1", "w2")
-    crowded = windows.filter("once").join(twice, ["w1", "w2"]).select("row", "lo", (F.col("lo") + LENGTH).alias("hi"))
-    return whole_cells.unionByName(sorted_).unionByName(crowded)
+    spans = [_sorted_spans(cut.filter(~F.col("crowded"))), *_crowded_spans(cut.filter("crowded"))]
+    return reduce(DataFrame.unionByName, spans, whole_cells)
 
 
 def merged(spans) -> list[tuple[int, int]]:
