@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import written
+from tidemark.llm import jaccard
 from tidemark.llm.common import fresh_name, stably_numbered, whole
 from tidemark.llm.components import stars
 
@@ -258,12 +259,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest id."""
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = jaccard.SHINGLE, similarity: float = jaccard.SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the row with the smallest id.
+
+    Links are pairs whose sets of ``shingle`` words have a Jaccard similarity of at least
+    ``similarity``.  Such pairs lie up to 13 bits apart in sf0.1, for which no order of blocks leaves
+    enough leading bits, so they are found by ``jaccard`` and not by the walk.
+    """
     rows, row = stably_numbered(docs)
     ids = written(rows.select(F.col(row).alias("_row"), F.col(id_col).alias("_id")), "ids")
-    found = near_components(rows.select(F.col(row).alias("_row"), F.col(text).alias("_whole")), "_row", "_whole")
-    best = found.join(ids, found["doc_id"] == ids["_row"]).groupBy("component_id").agg(
+    roots = jaccard.similar_roots(rows, row, text, shingle, similarity)
+    best = roots.join(ids, roots["row"] == ids["_row"]).groupBy("root").agg(
         F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_row"))).alias("_best")
     )
     stays = fresh_name(rows, "stays")
