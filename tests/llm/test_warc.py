@@ -1,6 +1,9 @@
 import base64
 import gzip
 import hashlib
+import io
+import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +112,34 @@ def test_files_are_bounded(spark):
     frame.write.format("warc").option("file_bytes", 1000).mode("append").save(path)
     assert len(warc.WarcReader(path, None, False).partitions()) > 3
     assert spark.read.format("warc").load(path).count() == 20
+
+
+@pytest.mark.parametrize("n", [5_000, 100_000])
+def test_headers_longer_than_the_first_look(spark, tmp_path, n):
+    url = "http://long/" + "ab" * (n // 2)
+    rows = [(1, url, "<p>tiny</p>", "x", "x", "x"), (2, url + "2", "<p>tiny</p>", "x", "x", "x"), (3, "http://next", "other", "x", "x", "x")]
+    frame = spark.createDataFrame(rows, PAGES).coalesce(1)
+    got = warc.round_trip(frame)
+    assert sorted((tuple(r) for r in got.select(*COLUMNS).collect()), key=repr) == expected(rows)
+    warc.register(spark)
+    path = scratch_path(spark, "warc-long")
+    warc.write_pages(frame, path)
+    read = {r.page_id: (r.url, r.payload) for r in spark.read.format("warc").load(path).collect()}
+    assert read == {1: (url, b"<p>tiny</p>"), 2: (url + "2", None), 3: ("http://next", b"other")}
+    # Message headers of that length, in a record without compression.
+    http = b"HTTP/1.1 200 OK\r\nX-Long: " + b"c" * n + b"\r\nContent-Length: 4\r\n\r\nbody"
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n" % len(http)
+    (tmp_path / "a.warc").write_bytes(head + http + b"\r\n\r\n")
+    assert [(r.payload_bytes, r.payload) for r in spark.read.format("warc").load(str(tmp_path)).collect()] == [(4, b"body")]
+
+
+def test_a_member_without_the_end_of_its_headers_fails():
+    import pyarrow as pa
+
+    squeezed = zlib.compressobj(1, zlib.DEFLATED, -15)
+    data = b"WARC/1.1\r\nWARC-Type: response\r\n"
+    packed = squeezed.compress(data) + squeezed.flush()
+    extra = struct.pack("<H2sHII", 12, b"SL", 8, 24 + len(packed) + 8, len(data))
+    member = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x04\xff" + extra + packed + struct.pack("<II", zlib.crc32(data), len(data))
+    with pytest.raises(ValueError, match="headers"):
+        list(warc.records(pa.PythonFile(io.BytesIO(member), "r"), lambda row: True, False))

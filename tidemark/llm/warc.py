@@ -44,7 +44,7 @@ FILE_BYTES = 64 << 20  # a task starts a new file after so many
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"  # pages carry no time of capture
 _SUFFIXES = (".warc", ".warc.gz")
-_HEAD = 4096  # bytes taken out of a record to find its headers
+_HEAD = 4096  # bytes taken out of a record at first to find its headers
 _ID = re.compile(r"<urn:x-page:(-?\d+)(?::\d+)?>")
 
 
@@ -215,15 +215,30 @@ def _payload(row: dict, block: bytes) -> bytes:
     return block.partition(b"\r\n\r\n")[2] if row["_http"] else block
 
 
+def _has_headers(head: bytes) -> bool:
+    """Whether the headers end in ``head``, of a captured message also its own."""
+    own, end, rest = head.partition(b"\r\n\r\n")
+    return bool(end) and (b"\r\n\r\n" in rest or not _headers(own).get("content-type", "").startswith("application/http"))
+
+
+def _member_head(stream: _Stream, size: int) -> bytes:
+    """The start of a gzip member of known size, as far as its headers go, however long they are."""
+    engine, head, taken, feed = zlib.decompressobj(31), b"", 0, b""
+    while not _has_headers(head):
+        if not feed and taken < size:
+            more = min(size, max(_HEAD, 2 * taken))
+            feed, taken = stream.peek(more)[taken:], more
+        piece = engine.decompress(feed, max(_HEAD, len(head)))
+        feed = engine.unconsumed_tail
+        if not piece and (engine.eof or (not feed and taken == size)):
+            raise ValueError("a WARC record ends before its headers do")
+        head += piece
+    return head
+
+
 def _member(stream: _Stream, size: int, wants, payload: bool):
     """A gzip member of known size: headers first, the rest only when wanted."""
-    taken = min(size, _HEAD)
-    while True:
-        head = zlib.decompressobj(31).decompress(stream.peek(taken), _HEAD * (taken // _HEAD + 1))
-        if head.count(b"\r\n\r\n") >= 2 or taken == size:
-            break
-        taken = min(size, 2 * taken)
-    row = parse(head)
+    row = parse(_member_head(stream, size))
     if wants(row):
         content = None
         if payload and row["record_type"] != "revisit":
@@ -257,7 +272,10 @@ def _bare(stream: _Stream, wants, payload: bool):
         raise ValueError("not a WARC record")
     body = own.index(b"\r\n\r\n") + 4
     size = _number(_headers(own[: body - 4]).get("content-length")) or 0
-    row = parse(stream.peek(min(body + size, body + _HEAD)))
+    n = min(size, _HEAD)
+    while not _has_headers(head := stream.peek(body + n)) and n < size:
+        n = min(size, 2 * n)
+    row = parse(head)
     if wants(row):
         yield row, _payload(row, stream.peek(body + size)[body:]) if payload and row["record_type"] != "revisit" else None
     stream.skip(body + size)
