@@ -54,3 +54,14 @@ def test_counts_do_not_depend_on_pieces(monkeypatch):
     monkeypatch.setattr(chars, "PIECE", 999)
     # Pieces end at spaces, so only a few n-grams with a space in the middle can differ.
     assert abs(whole - language.ngram_counts(text)).sum() <= 6 * 12
+
+
+def test_a_language_of_any_size_is_sampled(spark):
+    # More than a million rows for every row of the sample.
+    rows = spark.range(1_100_000).selectExpr("id AS key", "'la' AS text", "'xx' AS lang")
+    assert language.fit(rows, dimensions=64, sample=1).languages == ["xx"]
+    for n in (10, 10**6, 10**9, 10**13):
+        for each in (1, 22, 1000):
+            bound = language.draw_below(each, n)
+            let = n if bound is None else (bound + 2**63) * n // 2**64
+            assert min(n, each) <= let <= each + 6 * each**0.5 + 17

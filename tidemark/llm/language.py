@@ -13,6 +13,7 @@ between the languages.  What the tasks are sent is LANGUAGES x ``CENTROIDS`` x `
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.chars import letter_codes, pieces
 from tidemark.llm.common import whole
@@ -103,10 +105,19 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, n
     return centers, own
 
 
+def draw_below(each: int, n: int) -> int | None:
+    """The bound on a signed 64-bit hash that lets at least ``each`` of ``n`` rows through, at any n; None for all.
+
+    So many more are let through that the draw all but never falls short; the first ``each`` count.
+    """
+    most = each + 6 * math.isqrt(each) + 16
+    return None if most >= n else -(1 << 63) + -(-(most << 64) // n)
+
+
 def fit(learn: DataFrame, dimensions: int = DIMENSIONS, centroids: int = CENTROIDS, sample: int = SAMPLE, reject: float = REJECT) -> Model:
     """Learns from the columns ``key``, ``text`` and ``lang``; rows without a language are left out.
 
-    ``key`` only decides which rows are sampled.  Without any usable row the model knows no language.
+    ``key`` and the text decide which rows are sampled.  Without any usable row the model knows no language.
     """
     learn = learn.filter(F.col("lang").isNotNull()).select("key", whole("text").alias("text"), "lang")
 
@@ -127,14 +138,16 @@ def fit(learn: DataFrame, dimensions: int = DIMENSIONS, centroids: int = CENTROI
         else:
             df[gram] = n
     idf = np.log((1 + rows) / (1 + df)) + 0.1
-    # An even share of the sample for each language, chosen by a hash of the key.
+    # An even share of the sample for each language, chosen by a hash of the row.
     sizes = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()}
     each = max(1, sample // max(1, len(sizes)))
     wanted = F.lit(False)
-    draw = F.pmod(F.xxhash64("key", F.lit("language sample")), F.lit(1_000_000))
     for lang, n in sizes.items():
-        wanted = wanted | ((F.col("lang") == lang) & (draw < int(1_000_000 * min(1.0, each / n))))
-    chosen = learn.filter(wanted).select("lang", "text", draw.alias("draw")).orderBy("draw", F.xxhash64("text")).limit(sample)
+        own = F.col("lang") == lang
+        wanted = wanted | (own if (bound := draw_below(each, n)) is None else own & (F.col("draw") < F.lit(bound)))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.xxhash64("text")))
+    drawn_rows = learn.withColumn("draw", F.xxhash64("key", "text", F.lit("language sample"))).filter(wanted)
+    chosen = drawn_rows.withColumn("place", place).filter(F.col("place") <= each).select("lang", "text")
 
     def embed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
