@@ -192,3 +192,13 @@ def test_large_dimensions_are_not_broadcast(spark, tables):
     assert layouts.measured_bytes(customers) > 50 * customers.count()
     assert "broadcast" in plan(layouts.replicated(customers))
     assert "broadcast" not in plan(layouts.replicated(customers, max_bytes=1000))
+
+
+def test_a_hot_customer_is_summed_up_before_it_is_bucketed(shop, monkeypatch):
+    t, _, _ = shop
+    stored = []
+    monkeypatch.setattr(joins, "colocated_pair", lambda *a: stored.append(layouts.colocated_pair(*a)) or stored[-1])
+    joins.join_colocated_hash(t, days=10_000).collect()
+    facts, _ = stored[0]
+    assert facts.count() == t["orders"].select("o_custkey").distinct().count() < t["orders"].count()
+    assert layouts.hottest_share(facts, "o_custkey") < 0.1

@@ -108,18 +108,19 @@ def join_broadcast_segment(
     WHERE o.o_orderdate >= date '2001-07-02' GROUP BY 1
 """)
 def join_colocated_hash(t: Tables, as_of: date = ORDERS_AS_OF, days: int = 30, buckets: int | None = None) -> DataFrame:
-    """Both sides are stored bucketed on the customer key, so neither is shuffled for the join."""
+    """Both sides are stored bucketed on the customer key, so neither is shuffled for the join.
+
+    The facts are stored as one row per customer: a hot one is summed up before its bucket is written.
+    """
     facts, customers = colocated_pair(
-        t["orders"].select("o_custkey", "o_orderdate", "o_totalprice"),
+        amounts_by_customer(t["orders"].filter(F.col("o_orderdate") >= on(back(as_of, days)))),
         "o_custkey",
         t["customer"].select("c_custkey", "c_mktsegment"),
         "c_custkey",
         buckets,
     )
-    # The per-customer aggregate uses the same buckets and needs no shuffle either.
     return (
-        amounts_by_customer(facts.filter(F.col("o_orderdate") >= on(back(as_of, days))))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        facts.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("c_mktsegment").alias("customer_segment"))
         .agg(
             F.count("*").alias("unique_customers"),
