@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import alignment, contamination, exact, language, licenses, packing, quality, simhash, substrings, toxicity, warc, whitening
+from tidemark.llm import alignment, contamination, exact, language, licenses, packing, passages, quality, simhash, substrings, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitening_report(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.removal_report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
