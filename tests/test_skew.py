@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.functions.ordering import global_row_number, lead_in_blocks, tile
+from tidemark.functions import ordering
+from tidemark.functions.ordering import global_row_number, lead_in_blocks
 from tidemark.operators import joins, marts, subqueries, windows
 from tidemark.operators.windows import rfm_scores
 from tidemark.sources import layouts
@@ -90,10 +91,37 @@ def test_positions_from_ranges_equal_positions_in_one_task(spark):
     assert [r[0] for r in rows(ranged, "a")] == sorted(range(1, 1001), key=repr)
 
 
-@pytest.mark.parametrize("n", [1, 4, 5, 7, 23])
-def test_tile_is_ntile(spark, n):
-    df = spark.range(n).withColumn("p", F.row_number().over(W.orderBy("id"))).withColumn("want", F.ntile(5).over(W.orderBy("id")))
-    assert df.filter(tile(F.col("p"), F.lit(n), 5) != F.col("want")).count() == 0
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 7, 23, 400])
+@pytest.mark.parametrize("few, ranges", [(10_000, 4096), (1, 2), (3, 5)])
+def test_tiles_are_ntile(spark, monkeypatch, n, few, ranges):
+    """Ties, NULL, negative and distant values, whatever the number of histograms."""
+    if n in (4, 5, 7) and few == 3:
+        return
+    monkeypatch.setattr(ordering, "FEW", few)
+    monkeypatch.setattr(ordering, "RANGES", ranges)
+    key = (F.col("id") * 7 - 50).alias("key")
+    amount = F.when(F.col("id") % 11 != 3, (F.col("id") % 4 * 1000 - F.col("id") % 3).cast("decimal(20,2)") / 7).cast("decimal(20,2)").alias("amount")
+    df = spark.range(n).select(key, amount, F.when(F.col("id") % 9 != 8, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 5).cast("int"))).alias("at"))
+    got = ordering.with_tiles(df, "key", 5, a=("amount", False), d=("at", True))
+    want = df.withColumn("a", F.ntile(5).over(W.orderBy("amount", "key"))).withColumn("d", F.ntile(5).over(W.orderBy(F.desc("at"), "key")))
+    assert rows(got, *df.columns, "a", "d") == rows(want)
+
+
+def test_tiles_take_few_looks_and_no_sort(spark, monkeypatch):
+    looks = []
+    monkeypatch.setattr(ordering, "_narrow", lambda *a, f=ordering._narrow: looks.append(a) or f(*a))
+    df = spark.range(60_000).select(F.col("id").alias("key"), (F.col("id") * 7919 % 100_003).alias("v"), (F.col("id") % 3).alias("ties"))
+    got = ordering.with_tiles(df, "key", 5, a=("v", False), b=("ties", False))
+    assert len(looks) <= 2 and "Sort" not in got._jdf.queryExecution().toString() and "Window" not in got._jdf.queryExecution().toString()
+    assert [r[1] for r in rows(got.groupBy("a").count())] == [12_000] * 5
+    assert got.filter("b != floor((ties * 20000 + floor(key / 3)) / 12000) + 1").count() == 0
+
+
+def test_tiles_of_null_keys_and_other_types(spark):
+    df = spark.createDataFrame([(None, 5), (2, 5), (1, 5)], "key bigint, v bigint")
+    assert rows(ordering.with_tiles(df, "key", 3, t=("v", False)), "key", "t") == [(1, 2), (2, 3), (None, 1)]
+    with pytest.raises(TypeError):
+        ordering.with_tiles(spark.createDataFrame([(1, 1.5)], "key bigint, v double"), "key", 5, t=("v", False))
 
 
 def test_rfm_scores_equal_ntile(shop):

@@ -10,8 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import ORDERS_AS_OF, day, money, months_back, on, segment, share
-from tidemark.functions.ordering import global_row_number, lead_in_blocks, tile
-from tidemark.functions.scratch import written
+from tidemark.functions.ordering import lead_in_blocks, with_tiles
 from tidemark.operators.joins import amounts_by_customer
 from tidemark.registry import registered
 
@@ -144,32 +143,14 @@ def win_latest_per_key(t: Tables) -> DataFrame:
 
 
 def rfm_scores(orders: DataFrame) -> DataFrame:
-    """Recency, frequency and money of each customer with their NTILE(5) scores.
-
-    The three orders are global; positions come from range-partitioned sorts, not from
-    one task that sorts every customer.
-    """
+    """Recency, frequency and money of each customer with their NTILE(5) scores."""
     base = orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
         day(F.max("o_orderdate")).alias("last_order"),
         F.count("*").alias("frequency"),
         F.sum(money("o_totalprice")).alias("monetary"),
     )
-    base = written(base, "rfm")
-    rows = base.count()
-    numbered = global_row_number(
-        base,
-        ("_r", [F.desc("last_order"), F.asc("customer_id")]),
-        ("_f", [F.asc("frequency"), F.asc("customer_id")]),
-        ("_m", [F.asc("monetary"), F.asc("customer_id")]),
-        stored=True,
-    )
-    return numbered.select(
-        "customer_id",
-        "last_order",
-        "frequency",
-        F.col("monetary").cast("double").alias("monetary"),
-        *[tile(F.col(c), F.lit(rows), 5).alias(name) for c, name in (("_r", "r_score"), ("_f", "f_score"), ("_m", "m_score"))],
-    )
+    scored = with_tiles(base, "customer_id", 5, r_score=("last_order", True), f_score=("frequency", False), m_score=("monetary", False))
+    return scored.withColumn("monetary", F.col("monetary").cast("double"))
 
 
 RFM_SQL = """
