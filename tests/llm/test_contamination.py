@@ -44,7 +44,7 @@ def test_masks_are_lossless():
 
 def test_equals_brute_force(spark):
     draw = random.Random(4)
-    items = [(i, prose(300 + i, draw.choice([3, 6, 7, 9, 14, 15, 22, 40]))) for i in range(25)] + [(90, None), (91, "")]
+    items = [(i, prose(300 + i, draw.choice([2, 3, 6, 7, 9, 14, 15, 22, 40]))) for i in range(25)] + [(90, None), (91, "")]
     docs = []
     for d in range(60):
         text = prose(400 + d, draw.randint(0, 80)).split()
@@ -83,3 +83,24 @@ def test_awkward_rows(edge, no_docs, spark):
     kept = C.drop_contaminated(edge, items)
     assert kept.columns == edge.columns and kept.count() == edge.count() - 3
     assert C.drop_contaminated(edge, items.limit(0)).count() == edge.count()
+    assert C.drop_contaminated(no_docs, items).count() == 0
+
+
+def test_short_items_match_word_for_word(spark):
+    items = [(k, " ".join(prose(600, 6).split()[:k])) for k in range(1, 7)] + [(7, "zero")]
+    first = prose(600, 6).split()
+    docs = [(1, " ".join(first)), (2, " ".join(first[:3])), (3, f"{first[0]} {first[2]}"), (4, " ".join(reversed(first))), (5, f"x {first[0]}, {first[0].upper()} y {first[0]}")]
+    frames_ = frames(spark, docs, items)
+    got = C.leaks(*frames_)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == brute(docs, items)
+    assert [(r.first_word, r.last_word) for r in got.filter("doc_id = 5").collect()] == [(1, 4)]
+    assert C.leaks(*frames_, shortest=7).count() == 0 and C.leaks(*frames_, shortest=6).count() == 1
+
+
+def test_items_of_a_shared_passage_can_be_found(spark):
+    passage = prose(7, 60)
+    items = [(5, passage + " " + prose(8, 60)), (2, passage + " " + prose(9, 60)), (7, prose(10, 20))]
+    docs, benchmark = frames(spark, [(1, "start " + " ".join(passage.split()[:20]))], items)
+    assert {(r.item_id, r.n_items) for r in C.leaks(docs, benchmark).collect()} == {(2, 2)}
+    classes = {(r.item_id, r.member_id) for r in C.item_classes(benchmark).collect()}
+    assert {m for i, m in classes if i == 2} == {2, 5} and (7, 7) in classes

@@ -56,7 +56,8 @@ def test_awkward_rows(edge, no_docs):
     assert ids_and(got, *COLUMNS) == brute(rows)
     long = [r for r in substrings.removal_report(edge).collect() if r.doc_id in (4, 5)]
     assert all(r.n_removed == r.n_bytes and r.n_spans == 1 for r in long)
-    assert substrings.removal_report(no_docs).count() == 0
+    assert all(r.repeated == (r.n_removed > 0) for r in got.collect())
+    assert substrings.removal_report(no_docs).count() == 0 and substrings.remove_repeats(no_docs).count() == 0
     left = substrings.remove_repeats(edge)
     assert left.columns == edge.columns and {r.doc_id: r.text for r in left.collect()}[4] == ""
 

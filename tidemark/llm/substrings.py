@@ -306,7 +306,7 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
+    """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, repeated``.
 
     NULL and empty texts have no bytes, and texts shorter than the window have no repeats.
     Repeated rows are different places, so what they share goes from each of them.
@@ -322,4 +322,4 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     found, spans = with_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")))
-    return found.select("doc_id", report(whole("text"), spans).alias("r")).select("doc_id", "r.*")
+    return found.select("doc_id", report(whole("text"), spans).alias("r")).select("doc_id", "r.*", (F.col("r.n_removed") > 0).alias("repeated"))

@@ -270,7 +270,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
 
     Rows whose crc32(id as text) mod 4 is 2 are held out of learning; a NULL id is neither held
     out nor labelled.  ``score`` is the probability of label 1, for NULL and empty texts too, and
-    ``predicted`` is 1 from ``THRESHOLD`` on.  Without labels every score is 0.5.
+    ``predicted`` is 1 from ``THRESHOLD`` on.  Without labels every score is 0.5.  At most ``sample``
+    labels are learned from, and at most twice as many rows where ids repeat.
     """
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
     rows = docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), whole(text).alias("text"))
@@ -284,8 +285,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
         restore = restorer(model)
         return pd.Series([restore(t) for t in texts], dtype=object)
 
-    learn = rows.filter(~F.col("held_out")).select("doc_id", "text").join(marks, "doc_id")
-    learn = written(learn.limit(2 * sample).select(restored("text").alias("restored"), "label"), "toxic-learning")
+    # Rows that repeat an id may be many more than the marks; they are drawn from by their texts.
+    learn = written(rows.filter(~F.col("held_out")).select("doc_id", "text").join(marks, "doc_id"), "toxic-learning")
+    learn = bounded(learn, 2 * sample, "doc_id", "label", "text")
+    learn = written(learn.select(restored("text").alias("restored"), "label"), "toxic-restored")
     scorer = fit(learn, learn.count())
 
     @F.pandas_udf("double")
