@@ -226,26 +226,6 @@ def test_untouched_partitions_keep_their_files(spark):
     assert rows(spark.read.schema(schema).parquet(path)) == [(2, "y"), (3, "z"), (4, "y")]
 
 
-def test_facts_are_loaded_once_when_a_run_ends_before_the_watermark(spark, monkeypatch):
-    from datetime import datetime
-
-    table = lambda name: VersionedTable(spark, f"{root}/{name}")
-    root = scratch_path(spark, "crash")
-    source = spark.createDataFrame([(i, datetime(2025, 1, i)) for i in range(1, 9)], "id int, ts timestamp_ntz")
-    w = pipelines.Warehouse(table("s"), source.filter("id <= 4"), table("d"), table("f"), table("a"), table("c"), f"{root}/log")
-    w.facts.publish(source.limit(0))
-    w.control.publish(spark.createDataFrame([], "table_name string, last_load_timestamp timestamp_ntz, rows_loaded bigint, status string"))
-    stop = w.control.publish
-    w.control.publish = lambda df: (_ for _ in ()).throw(RuntimeError("lost"))
-    with pytest.raises(RuntimeError):
-        pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20))
-    w.control.publish = stop
-    w.transactions = source  # more has come meanwhile
-    pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20))
-    assert rows(w.facts.current(), "id") == [(i,) for i in range(1, 9)]
-    assert pipelines.load_new_facts(w, "ts", datetime(2025, 1, 20)) == 0
-
-
 def test_reports_read_the_log_a_pipeline_wrote(spark):
     from datetime import timedelta
 

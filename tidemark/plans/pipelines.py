@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import months_back
+from tidemark.functions.exprs import months_back, on
 from tidemark.operators import loads
 from tidemark.operators import quality as dq
+from tidemark.sources.ledger import Change, Directory, Ledger
 from tidemark.sources.writers import VersionedTable
 
 LOG_SCHEMA = (
@@ -66,38 +68,58 @@ def publish_counted(table: VersionedTable, df: DataFrame, append: bool = False,
     return seen.get["rows"]
 
 
-def _mark(control: DataFrame, table_name: str) -> str:
-    """The stored watermark as part of a directory name."""
-    row = control.filter(F.col("table_name") == table_name).select(F.date_format("last_load_timestamp", "yyyyMMddHHmmssSSSSSS")).first()
-    return row[0] if row and row[0] else "start"
-
-
-def load_new_facts(w: "Warehouse", ts: str, run_at: datetime, name: str = "fact_transactions") -> int:
-    """Append what came since the watermark, then move the watermark.
-
-    The appended version is named after the watermark before and after it.  A run that
-    ends between the two steps leaves a version that starts at the stored watermark; the
-    next run finds it, moves the watermark to its end, and goes on from there.
+def load_new_facts(
+    change: Change,
+    source: DataFrame,
+    ts: str,
+    run_at: datetime,
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
+    part: str = "sale_date",
+    key: str = "transaction_id",
+    name: str = "fact_transactions",
+) -> list[Directory]:
+    """Stage what came since the watermark, in directories by ``part``, and the watermark moved to it.
+
+    Nothing is visible before ``change`` is committed, and then facts and watermark are at once.
+    ``enrich`` looks dimensions up; rows it leaves out do not move the watermark.
     """
-    done = 0
-    while True:
-        before = _mark(w.control.current(), name)
-        left = [v for v in w.facts.versions() if v.startswith(f"facts-{before}-")]
-        if left:
-            until = datetime.strptime(left[0].rsplit("-", 1)[1], "%Y%m%d%H%M%S%f")
-            _, control = loads.since_watermark(w.transactions, w.control.current(), name, ts, min(until, run_at))
-            w.control.publish(control)
-            if _mark(w.control.current(), name) == before:
-                return done
-            continue
-        rows, control = loads.since_watermark(w.transactions, w.control.current(), name, ts, run_at)
-        after = _mark(control, name)
-        if after in (before, "start") or rows.isEmpty():
-            w.control.publish(control)
-            return done
-        done += publish_counted(w.facts, rows, append=True, version=f"facts-{before}-{after}")
-        w.control.publish(control)
-        return done
+    control = change.rows("control")
+    fresh, _ = loads.since_watermark(source, control, name, ts, run_at, enrich)
+    new = change.append("facts", fresh, part=part, key=key)
+    if new:
+        paths = {d.path for d in new}
+        # The watermark is taken from what was stored, so a source that grows meanwhile loses nothing.
+        _, control = loads.since_watermark(change.rows("facts", lambda d: d.path in paths), control, name, ts, run_at)
+        change.replace("control", control)
+    return new
+
+
+def deduplicate_new(change: Change, new: list[Directory], key: str = "transaction_id", order: str = "transaction_ts", part: str = "sale_date") -> int:
+    """Of rows with the same key the latest stays.  Returns the rows removed.
+
+    Only the new directories and stored ones whose key bounds meet theirs are looked at, and of
+    the stored ones only the key column; directories that do hold a repeated key are rewritten.
+    """
+    if not new:
+        return 0
+    fresh_paths = {d.path for d in new}
+    fresh = change.rows("facts", lambda d: d.path in fresh_paths)
+    known = [d for d in new if d.low is not None]
+    low, high = (min(d.low for d in known), max(d.high for d in known)) if known else (None, None)
+    maybe = change.may_hold("facts", low, high, but=new)
+    holders: list[Directory] = []
+    if maybe:
+        paths = {d.path for d in maybe}
+        stored = change.rows("facts", lambda d: d.path in paths).select(key, F.col("_metadata.file_path").alias("_file"))
+        files = stored.join(fresh.select(key), key, "left_semi").select(F.regexp_extract("_file", "^(.*)/[^/]*$", 1).alias("f")).distinct()
+        folders = [unquote(r.f) for r in files.collect()]  # at most one row per directory
+        holders = [d for d in maybe if any(f.endswith(unquote(d.path)) for f in folders)]
+    if not holders and fresh.groupBy(key).count().filter("count > 1").isEmpty():
+        return 0
+    touched = [*new, *holders]
+    paths = {d.path for d in touched}
+    kept = loads.dedup_keep_latest(change.rows("facts", lambda d: d.path in paths), [key], [order])
+    return sum(d.rows for d in touched) - change.swap("facts", touched, kept, part=part, key=key)
 
 
 def pipe_staging_to_prod(
@@ -139,17 +161,30 @@ def pipe_staging_to_prod(
     return production.current()
 
 
+def load_transactions(ledger: Ledger, source: DataFrame, run_at: datetime, ts: str = "transaction_ts") -> int:
+    """One incremental run: new rows with the keys of current dimension rows, published with the watermark."""
+    change = ledger.begin()
+
+    def enrich(rows: DataFrame) -> DataFrame:
+        dims = {"product_id": (change.rows("products"), "product_id", "product_key"), "store_id": (change.rows("stores"), "store_id", "store_key")}
+        found = loads.load_fact_enrich(rows, dims).withColumn("date_key", F.date_format(ts, "yyyyMMdd").cast("int"))
+        return found.withColumn("sale_month", F.date_format(ts, "yyyy-MM"))
+
+    new = load_new_facts(change, source, ts, run_at, enrich, part="sale_month")
+    change.commit(f"transactions until {run_at}")
+    return sum(d.rows for d in new)
+
+
 @dataclass
 class Warehouse:
-    """The tables of the daily workflow."""
+    """The tables of the daily workflow: ``products_staging``, ``products``, ``facts``, ``daily`` and
+    ``control``, all in one ledger; the transactions come from outside.  ``part`` is the column that
+    deals facts to directories, a day or a month as text or date."""
 
-    products_staging: VersionedTable
+    ledger: Ledger
     transactions: DataFrame
-    products: VersionedTable
-    facts: VersionedTable
-    daily: VersionedTable
-    control: VersionedTable
     log_path: str
+    part: str = "sale_date"
 
 
 def pipe_daily_etl(
@@ -159,46 +194,45 @@ def pipe_daily_etl(
     refresh: date,
     retention_months: int = 24,
     process: str = "daily etl",
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Dimensions, new facts, deduplication, the day's aggregate, retention, in that order.
 
-    Products are versioned from their staging table, which is cleared after success
-    only.  Returns the stored daily aggregate.
+    All steps belong to one change of the ledger.  A run that fails or is lost at any step
+    leaves every table as it was, and of two runs at a time one is refused.  Files of days that no
+    step touches stay; the aggregate reads one day of facts.  Returns the stored daily aggregate.
     """
-    log = RunLog(spark, process)
+    log, change = RunLog(spark, process), w.ledger.begin()
+    new: list[Directory] = []
     try:
         tracked = ["product_name", "category", "price"]
-        log.step(
-            "dimensions",
-            lambda: publish_counted(
-                w.products,
-                loads.load_scd2_bulk(w.products.current(), w.products_staging.current(), "product_id", tracked, run_at),
-            ),
-        )
-
-        log.step("facts", lambda: load_new_facts(w, "transaction_ts", run_at))
-
-        def deduplicate() -> int:
-            stored = w.facts.current()
-            repeated = stored.groupBy("transaction_id").count().filter("count > 1")
-            if repeated.isEmpty():  # the usual case: one column read, nothing rewritten
+        staged = change.rows("products_staging")
+
+        def dimensions() -> int:
+            if staged.isEmpty():  # nothing was delivered, which is not the same as everything withdrawn
                 return 0
-            return publish_counted(w.facts, loads.dedup_keep_latest(stored, ["transaction_id"], ["transaction_ts"]))
+            return change.replace("products", loads.load_scd2_bulk(change.rows("products"), staged, "product_id", tracked, run_at))
 
-        log.step("deduplicate", deduplicate)
-        log.step("aggregate", lambda: publish_counted(w.daily, loads.agg_refresh_daily(w.daily.current(), w.facts.current(), refresh)))
+        log.step("dimensions", dimensions)
 
-        def retain() -> int:
-            stored = w.facts.current().withColumn("_month", F.date_format("sale_date", "yyyy-MM"))
-            kept = loads.part_drop_old(stored, "_month", retention_months, refresh)
-            oldest = stored.agg(F.min("_month")).first()[0]
-            if oldest is None or oldest >= months_back(refresh, retention_months).strftime("%Y-%m"):
-                return 0
-            return publish_counted(w.facts, kept.drop("_month"))
+        def facts() -> int:
+            new.extend(load_new_facts(change, w.transactions, "transaction_ts", run_at, enrich, w.part))
+            return sum(d.rows for d in new)
+
+        log.step("facts", facts)
+        log.step("deduplicate", lambda: deduplicate_new(change, new, part=w.part))
+
+        def aggregate() -> int:
+            # Directories of that day, or of its month.
+            today = change.rows("facts", lambda d: d.part is not None and str(refresh).startswith(d.part)).filter(F.col("sale_date") == on(refresh))
+            return change.replace_parts("daily", loads.daily_sales(today), "sale_date", [str(refresh)])
 
-        log.step("retention", retain)
-        log.step("clear staging", lambda: w.products_staging.publish(w.products_staging.current().limit(0)) and 0)
+        log.step("aggregate", aggregate)
+        oldest = months_back(refresh, retention_months).strftime("%Y-%m")
+        log.step("retention", lambda: sum(d.rows for d in change.drop_parts("facts", lambda day: day is not None and day[:7] < oldest)))
+        log.step("clear staging", lambda: change.replace("products_staging", staged.limit(0)))
+        log.step("commit", lambda: change.commit(f"{process} {run_at}") and None)
     finally:
         if log.rows:
             log.append_to(w.log_path)
-    return w.daily.current()
+    return w.ledger.rows("daily")
