@@ -136,12 +136,14 @@ def test_delivery_xml(spark):
 
 
 BAD_SALES = """sale_id,product_id,customer_id,quantity,amount,sale_date
-11,101,1001,2,50.00,2024-01-15
-12,INVALID,1002,1,25.00,2024-01-16
-13,103,1003,3,75.00,INVALID_DATE
-14,104,NULL,1,30.00,2024-01-18
-15,105,1005,-5,10.00,2024-01-19
-16,106,1006,1,12.00,2024-01-19,one field too many
+4001,7,88,3,19.90,2023-06-30
+4002,8,NULL,12,240.00,2023-07-01
+
+4003,9,91,two,5.00,2023-07-02
+4004,9,92,1
+4005,10,93,1,free,2023-07-04
+4006,11,94,4,8.80,2023-07-05
+4007,11,95,1,2.20,05/07/2023
 """
 SALES = "sale_id int, product_id int, customer_id int, quantity int, amount decimal(10,2), sale_date date"
 
@@ -155,17 +157,17 @@ def bad_sales(spark):
 
 def test_rejects(spark, bad_sales):
     good, rejects = files.read_csv_reject(spark, bad_sales, SALES, null="NULL")
-    assert rows(good, "sale_id", "customer_id", "quantity") == [(11, 1001, 2), (14, None, 1), (15, 1005, -5)]
-    assert rows(rejects, "record_key", "reason") == [
-        ("12", "product_id: not a int"), ("13", "sale_date: not a date"), ("16", "malformed row"),
+    assert rows(good, "sale_id", "customer_id", "quantity") == [(4001, 88, 3), (4002, None, 12), (4006, 94, 4)]
+    assert rows(rejects, "line_number", "record_key", "reason") == [
+        (5, "4003", "quantity: not a int"), (6, "4004", "malformed row"), (7, "4005", "amount: not a decimal(10,2)"), (9, "4007", "sale_date: not a date"),
     ]
-    assert rows(files.reject_summary(rejects), "reason", "error_count")[0] == ("malformed row", 1)
+    assert rows(files.reject_summary(rejects), "reason", "error_count", "first_line", "last_line")[1] == ("malformed row", 1, 6, 6)
 
 
 def test_reject_limit(spark, bad_sales):
-    files.read_csv_reject(spark, bad_sales, SALES, null="NULL", limit=3)
+    files.read_csv_reject(spark, bad_sales, SALES, null="NULL", limit=4)
     with pytest.raises(files.RejectLimitExceeded):
-        files.read_csv_reject(spark, bad_sales, SALES, null="NULL", limit=2)
+        files.read_csv_reject(spark, bad_sales, SALES, null="NULL", limit=3)
 
 
 @pytest.mark.parametrize(

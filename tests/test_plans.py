@@ -75,3 +75,9 @@ def test_top_k_is_not_a_global_sort(tables):
 @pytest.mark.parametrize(("name", "scans"), [("dq_report", 1), ("dq_web_log_checks", 1), ("join_self_using", 1), ("json_contains", 3)])
 def test_tables_are_read_once(name, scans, tables):
     assert plan(ENTRIES[name].run(tables)).count("Location: ") == scans
+
+
+@pytest.mark.parametrize("name", ["skew_segments", "skew_flag_150", "skew_bands", "skew_coefficient", "skew_key_range", "agg_stddev_skew", "win_band_vs_avg"])
+def test_placement_is_read_from_footers(name, tables):
+    text = ENTRIES[name].run(tables)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("PushedAggregation: [COUNT(*)") == text.count("PushedGroupBy: [segment_id]") == text.count("BatchScan") == 1

@@ -60,8 +60,3 @@ def mean(col: Column) -> Column:
 def share(part: Column, whole: Column) -> Column:
     """``round(100 * part / whole, 2)``; NULL when ``whole`` is zero."""
     return F.round(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), 2)
-
-
-def segment(key: str | Column, n: int) -> Column:
-    """Number of the storage segment a key falls in."""
-    return F.pmod(F.col(key) if isinstance(key, str) else key, F.lit(n)).cast("int")

@@ -8,9 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import EVENTS_AS_OF, ORDERS_AS_OF, back, day, mean, money, on, segment, share, total
+from tidemark.functions.exprs import EVENTS_AS_OF, ORDERS_AS_OF, back, day, mean, money, on, share, total
 from tidemark.operators.joins import amounts_by_customer
 from tidemark.registry import registered
+from tidemark.sources.footers import stored_counts
 
 Tables = Mapping[str, DataFrame]
 
@@ -232,15 +233,16 @@ def agg_string_list(t: Tables) -> DataFrame:
 
 
 @registered("""
-    WITH s AS (SELECT o_custkey % 16 AS segment, count(*) AS row_count FROM orders GROUP BY 1)
+    WITH s AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS row_count FROM orders GROUP BY 1)
     SELECT min(row_count) AS min_rows, max(row_count) AS max_rows,
            cast(round(sum(row_count)::double / count(*)) AS bigint) AS avg_rows,
            cast(round(stddev_samp(row_count)) AS bigint) AS stddev_rows,
            round(1e2 * (max(row_count) - min(row_count)) / nullif(sum(row_count)::double / count(*), 0), 2) AS skew_percent
     FROM s
 """)
-def agg_stddev_skew(t: Tables, segments: int = 16) -> DataFrame:
-    counts = t["orders"].groupBy(segment("o_custkey", segments).alias("segment")).agg(F.count("*").alias("row_count"))
+def agg_stddev_skew(t: Tables) -> DataFrame:
+    """Spread of the rows over the month directories of the stored orders."""
+    counts = stored_counts(t["orders"], F.year("o_orderdate") * 100 + F.month("o_orderdate"))
     average = F.sum("row_count").cast("double") / F.count("*")
     return counts.agg(
         F.min("row_count").alias("min_rows"),

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import share
-from tidemark.functions.scratch import scratch_path
 from tidemark.registry import registered
-from tidemark.sources import writers
+from tidemark.sources.footers import stored_counts
 
 Tables = Mapping[str, DataFrame]
 
@@ -21,20 +20,6 @@ def _all():
     return W.partitionBy()
 
 
-def stored_counts(df: DataFrame, part: Column, *ranged: str) -> DataFrame:
-    """Rows per directory of ``df`` stored by ``part``, with the range of further columns.
-
-    The table is written and its directories are counted, so the report shows a placement
-    that exists.  At most one row per directory, small enough for a window over all of them.
-    """
-    path = scratch_path(df.sparkSession, "placed")
-    placed = df.select(*ranged, part.cast("int").alias("segment_id"))
-    stored = placed if ranged else placed.withColumn("present", F.lit(True))
-    writers.write_partitioned(stored, path, "segment_id")
-    bounds = [f(c).alias(f"{name}_{c}") for c in ranged for name, f in (("min", F.min), ("max", F.max))]
-    return df.sparkSession.read.schema(stored.schema).parquet(path).groupBy("segment_id").agg(F.count("*").alias("row_count"), *bounds)
-
-
 @registered("""
     WITH s AS (SELECT cast(strftime(o_orderdate, '%Y') AS integer) AS segment_id, count(*) AS row_count FROM orders GROUP BY 1)
     SELECT segment_id, row_count, round(1e2 * row_count / sum(row_count) OVER (), 2) AS percentage,

@@ -9,41 +9,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import ORDERS_AS_OF, day, money, months_back, on, segment, share
+from tidemark.functions.exprs import ORDERS_AS_OF, day, money, months_back, on, share
 from tidemark.functions.ordering import lead_in_blocks, with_tiles
 from tidemark.operators.joins import amounts_by_customer
 from tidemark.registry import registered
+from tidemark.sources.footers import stored_counts
 
 Tables = Mapping[str, DataFrame]
 
 
-def segment_counts(df: DataFrame, key: str, segments: int) -> DataFrame:
-    """Rows per storage segment: at most ``segments`` rows, small enough for a window over all of them."""
-    return df.groupBy(segment(key, segments).alias("segment_id")).agg(F.count("*").alias("row_count"))
-
-
 @registered("""
-    SELECT cast(o_custkey % 8 AS integer) AS segment_id, count(*) AS row_count,
+    SELECT o_orderpriority AS priority, count(*) AS row_count,
            round(1e2 * count(*) / sum(count(*)) OVER (), 2) AS percentage
     FROM orders GROUP BY 1
 """)
-def win_share_of_total(t: Tables, segments: int = 8) -> DataFrame:
-    counts = segment_counts(t["orders"], "o_custkey", segments)
+def win_share_of_total(t: Tables) -> DataFrame:
+    """The window sees one row per priority."""
+    counts = t["orders"].groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("row_count"))
     return counts.withColumn("percentage", share(F.col("row_count"), F.sum("row_count").over(W.partitionBy())))
 
 
 @registered("""
-    SELECT cast(l_partkey % 8 AS integer) AS segment_id, count(*) AS row_count,
+    SELECT cast(strftime(l_shipdate, '%Y') AS integer) AS segment_id, count(*) AS row_count,
            round(1e2 * count(*) / sum(count(*)) OVER (), 2) AS percentage,
            CASE WHEN count(*) BETWEEN avg(count(*)) OVER () * 0.9::double AND avg(count(*)) OVER () * 1.1::double
                 THEN 'Balanced' ELSE 'Skewed' END AS distribution_status
     FROM lineitem GROUP BY 1
 """)
-def win_band_vs_avg(t: Tables, segments: int = 8, low: float = 0.9, high: float = 1.1) -> DataFrame:
+def win_band_vs_avg(t: Tables, low: float = 0.9, high: float = 1.1) -> DataFrame:
+    """How the directories of the stored line items compare with their average."""
     everything = W.partitionBy()
     average = F.avg("row_count").over(everything)
     return (
-        segment_counts(t["lineitem"], "l_partkey", segments)
+        stored_counts(t["lineitem"], F.year("l_shipdate"))
         .withColumn("percentage", share(F.col("row_count"), F.sum("row_count").over(everything)))
         .withColumn(
             "distribution_status",

@@ -46,28 +46,34 @@ _BAD_ROWS = """
     WITH raw AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 'x' || o_orderkey ELSE o_orderkey::varchar END AS sale_id,
         CASE WHEN o_orderkey % 50 = 7 THEN NULL ELSE o_custkey::varchar END AS customer_id,
         CASE WHEN o_orderkey % 50 = 1 THEN 'INVALID_DATE' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS sale_date,
-        o_orderkey % 50 = 0 AS bad_id, o_orderkey % 50 = 1 AS bad_date FROM orders)
+        o_orderkey % 50 = 0 AS bad_id, o_orderkey % 50 = 1 AS bad_date, strftime(o_orderdate, '%Y-%m') AS month,
+        1 + row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) AS line_number FROM orders)
 """
 _SALES = "sale_id bigint, customer_id bigint, sale_date date"
 
 
 def _load_with_rejects(t, limit: int | None = None):
-    """Orders as text, with letters in some keys, an invalid date in some rows, a NULL token in others."""
+    """Orders as text, a file per month, with letters in some keys, an invalid date in some rows, a NULL token in others."""
     kind, path = F.col("o_orderkey") % 50, _path(t, "csv-bad")
     rows = t["orders"].select(
         F.when(kind == 0, F.concat(F.lit("x"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string")).alias("sale_id"),
         F.when(kind != 7, F.col("o_custkey").cast("string")).alias("customer_id"),
         F.when(kind == 1, "INVALID_DATE").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("sale_date"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey",
     )
-    writers.export_csv(rows, path, null="NULL")
-    return files.read_csv_reject(t.spark, path, _SALES, limit=limit, null="NULL")
+    # A month's file is in key order, so that the SQL can tell its lines.
+    laid = rows.repartition("month").sortWithinPartitions("month", "o_orderkey").drop("o_orderkey")
+    laid.write.partitionBy("month").options(header=True, nullValue="NULL", emptyValue='""', quote='"', escape='"').csv(path)
+    good, rejects = files.read_csv_reject(t.spark, f"{path}/month=*", _SALES, limit=limit, null="NULL")
+    return good, rejects.withColumn("source_file", F.regexp_extract("source_file", "month=([^/]*)/", 1))
 
 
 @registered(_BAD_ROWS + """
     SELECT 'loaded' AS outcome, sale_id AS record_key, sale_id::bigint AS sale_id, customer_id::bigint AS customer_id,
-           sale_date::date AS sale_date, NULL::varchar AS reason FROM raw WHERE NOT bad_id AND NOT bad_date
+           sale_date::date AS sale_date, NULL::varchar AS reason, NULL::varchar AS source_file, NULL::bigint AS line_number
+    FROM raw WHERE NOT bad_id AND NOT bad_date
     UNION ALL
-    SELECT 'rejected', sale_id, NULL, NULL, NULL, CASE WHEN bad_id THEN 'sale_id: not a bigint' ELSE 'sale_date: not a date' END
+    SELECT 'rejected', sale_id, NULL, NULL, NULL, CASE WHEN bad_id THEN 'sale_id: not a bigint' ELSE 'sale_date: not a date' END, month, line_number
     FROM raw WHERE bad_id OR bad_date
 """)
 def src_csv_reject(t) -> DataFrame:
@@ -76,14 +82,14 @@ def src_csv_reject(t) -> DataFrame:
         F.lit("loaded").alias("outcome"), F.col("sale_id").cast("string").alias("record_key"), "*",
         F.lit(None).cast("string").alias("reason"),
     )
-    refused = rejects.select(F.lit("rejected").alias("outcome"), "record_key", "reason")
+    refused = rejects.select(F.lit("rejected").alias("outcome"), "record_key", "reason", "source_file", "line_number")
     return loaded.unionByName(refused, allowMissingColumns=True)
 
 
 @registered(_BAD_ROWS + """
-    SELECT CASE WHEN bad_id THEN 'sale_id: not a bigint' ELSE 'sale_date: not a date' END AS reason,
-           count(*) AS error_count, min(sale_id) AS first_record, max(sale_id) AS last_record
-    FROM raw WHERE bad_id OR bad_date GROUP BY 1
+    SELECT month AS source_file, CASE WHEN bad_id THEN 'sale_id: not a bigint' ELSE 'sale_date: not a date' END AS reason,
+           count(*) AS error_count, min(line_number) AS first_line, max(line_number) AS last_line
+    FROM raw WHERE bad_id OR bad_date GROUP BY 1, 2
 """)
 def rpt_reject_summary(t) -> DataFrame:
     return files.reject_summary(_load_with_rejects(t)[1])

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.scratch import scratch_path
+from tidemark.sources.writers import write_partitioned
+
 # Spark answers COUNT, MIN and MAX from footers, per directory too, in its second Parquet reader.
 _SETTINGS = {
     "spark.sql.sources.useV1SourceList": "",
@@ -44,3 +47,22 @@ def footer_counts(spark: SparkSession, path: str, schema: str | StructType | Non
             raise TypeError(f"{column}: footers hold no exact bounds of {kinds[column]}")
         columns.append({"min": F.min, "max": F.max}[what](column).alias(name))
     return table.groupBy(*parts).agg(F.count("*").alias("row_count"), *columns)
+
+
+def placement(spark: SparkSession, path: str, part: str, schema: StructType | None = None, **bounds: str) -> DataFrame:
+    """``part``, ``row_count`` and bounds per directory of a stored table, from its file footers.
+
+    Nothing but footers is read, so the report costs the same however wide or long the rows are.
+    There is at most one row per directory, small enough for a window over all of them.
+    """
+    return footer_counts(spark, path, schema, (part,), **bounds)
+
+
+def stored_counts(df: DataFrame, part: Column, *ranged: str) -> DataFrame:
+    """``df`` stored in directories by ``part``, and the placement report of that table."""
+    path = scratch_path(df.sparkSession, "placed")
+    columns = [F.col(c) for c in ranged] or [F.lit(True).alias("present")]
+    placed = df.select(*columns, part.cast("int").alias("segment_id"))
+    write_partitioned(placed, path, "segment_id")
+    bounds = {f"{name}_{c}": f"{name}:{c}" for c in ranged for name in ("min", "max")}
+    return placement(df.sparkSession, path, "segment_id", placed.schema, **bounds)
