@@ -220,3 +220,40 @@ def test_footers_tell_counts_and_bounds_without_data(spark, tables):
     with pytest.raises(TypeError):
         footer_counts(spark, path, None, (), low="min:o_orderstatus")
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_checks_are_made_while_rows_are_written(spark, monkeypatch):
+    from tidemark.operators.quality import Rule
+    from tidemark.plans.pipelines import load_checked
+
+    store = ledger(spark, "checked")
+    rules = [Rule("no value", "v IS NULL"), Rule("large", "v > 10", "WARNING")]
+    make = lambda *items: spark.createDataFrame([(k, v, date(2025, 1, d)) for k, v, d in items], "k int, v int, day date")
+    first = make((1, 5, 1), (1, 4, 1), (2, None, 1), (2, None, 1), (3, 20, 2), (None, 7, 2), (None, 8, 2))
+    load_checked(store, first, rules, ["k"], datetime(2025, 1, 1), "t", part="day")
+    assert rows(store.rows("t"), "k", "v") == sorted([(1, 4), (3, 20), (None, 7)], key=repr)
+    assert rows(store.rows("t_rejected"), "k", "v", "broken_rules") == [(2, None, ["no value"])] * 2
+    files = {d.part: d.path for d in store.latest().tables["t"]}
+    load_checked(store, make((1, 1, 3), (4, 11, 3), (None, 1, 3)), rules, ["k"], datetime(2025, 1, 2), "t", part="day")
+    assert rows(store.rows("t"), "k", "v") == sorted([(1, 4), (3, 20), (4, 11), (None, 7)], key=repr)
+    assert {p: d for p, d in ((d.part, d.path) for d in store.latest().tables["t"]) if p in files} == files
+    history = rows(store.rows("dq_history"), "run_at", "check_name", "check_result", "issue_count")
+    assert history == sorted([
+        (datetime(2025, 1, 1), "no value", "FAIL", 2), (datetime(2025, 1, 1), "large", "WARNING", 1), (datetime(2025, 1, 1), "Duplicate k", "FAIL", 2),
+        (datetime(2025, 1, 2), "no value", "PASS", 0), (datetime(2025, 1, 2), "large", "WARNING", 1), (datetime(2025, 1, 2), "Duplicate k", "PASS", 0),
+    ], key=repr)
+    assert len(store.history()) == 2
+
+
+def test_the_routed_source_is_read_once(spark, tables):
+    from tidemark.operators import quality as dq
+    from tidemark.plans.quality_queries import staged_sales, web_logs
+
+    known = tables["events"].select(F.col("event_id").alias("log_id"))
+    routed = dq.routed_by_rules(web_logs(tables), dq.WEB_LOG_RULES, ["log_id"], known)
+    text = routed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation") == 2  # the logs, and the stored keys
+    valid, errors = dq.dq_route_valid_invalid(dq.dq_validate_clean(staged_sales(tables)))
+    for df in (valid, errors):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan") == 1 and "lineitem" not in text and "PartitionFilters: [isnotnull(validation_status" in text

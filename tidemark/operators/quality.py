@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scratch import scratch_path
 from tidemark.operators.unions import stacked
 
 
@@ -55,11 +56,19 @@ def dq_validate_clean(raw: DataFrame, mode: str = "strict") -> DataFrame:
     )
 
 
-def dq_route_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows for the fact table; the others as raw text for the error table."""
-    valid = F.col("validation_status") == "VALID"
-    errors = validated.filter(~valid).select("raw_data", F.lit("Validation failed").alias("error_message"))
-    return validated.filter(valid).drop("validation_status", "raw_data"), errors
+def dq_route_valid_invalid(validated: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Valid rows for the fact table; the others as raw text for the error table.
+
+    The rows are computed and written once, in a directory per outcome; both results read theirs.
+    """
+    path = path or scratch_path(validated.sparkSession, "routed")
+    typed = [c for c in validated.columns if c not in ("validation_status", "raw_data")]
+    bad = F.col("validation_status") != "VALID"
+    routed = validated.select("validation_status", *typed, F.when(bad, F.col("raw_data")).alias("raw_data"))
+    routed.write.partitionBy("validation_status").parquet(path)
+    stored = validated.sparkSession.read.schema(routed.schema).parquet(path)
+    errors = stored.filter(bad).select("raw_data", F.lit("Validation failed").alias("error_message"))
+    return stored.filter(~bad).select(*typed), errors
 
 
 def dq_null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -111,23 +120,14 @@ def rules_from_table(rules: DataFrame) -> list[Rule]:
     return [Rule(r["check_name"], r["bad"], r["severity"], r["details"]) for r in rules.orderBy("check_name").collect()]
 
 
-def dq_rule_engine(df: DataFrame, rules: list[Rule] | DataFrame, table_name: str, unique: list[str] | None = None) -> DataFrame:
-    """All rules in one aggregate over the data; result rows ready to append to a check history.
-
-    ``unique`` adds a duplicate-key check; its shuffle carries the other counts along.
-    """
-    rules = rules_from_table(rules) if isinstance(rules, DataFrame) else rules
-    counts = counted_once(df, {f"r{i}": F.expr(rule.bad) for i, rule in enumerate(rules)}, unique)
-    rows = [(rule.name, rule.severity, rule.details, f"r{i}") for i, rule in enumerate(rules)]
-    if unique:
-        rows.append((f"Duplicate {', '.join(unique)}", "FAIL", "keys occur more than once", "duplicates"))
+def _verdicts(counts: DataFrame, rows: list[tuple[str, str, str, str]], table_name: str) -> DataFrame:
+    """(name, severity, details, column) per check to result rows, from one row of counts."""
     found = [
         F.struct(F.lit(n).alias("check_name"), F.lit(s).alias("severity"), F.lit(d).alias("text"), F.col(c).alias("issue_count"))
         for n, s, d, c in rows
     ]
-    results = counts.select(F.inline(F.array(*found)))
     clean = F.col("issue_count") == 0
-    return results.select(
+    return counts.select(F.inline(F.array(*found))).select(
         F.lit(table_name).alias("table_name"),
         "check_name",
         F.when(clean, "PASS").otherwise(F.col("severity")).alias("check_result"),
@@ -136,6 +136,51 @@ def dq_rule_engine(df: DataFrame, rules: list[Rule] | DataFrame, table_name: str
     )
 
 
+def _checks(rules: list[Rule], unique: list[str] | None) -> list[tuple[str, str, str, str]]:
+    rows = [(rule.name, rule.severity, rule.details, f"r{i}") for i, rule in enumerate(rules)]
+    return rows + ([(f"Duplicate {', '.join(unique)}", "FAIL", "keys occur more than once", "duplicates")] if unique else [])
+
+
+def dq_rule_engine(df: DataFrame, rules: list[Rule] | DataFrame, table_name: str, unique: list[str] | None = None) -> DataFrame:
+    """All rules in one aggregate over the data; result rows ready to append to a check history.
+
+    ``unique`` adds a duplicate-key check; its shuffle carries the other counts along.
+    """
+    rules = rules_from_table(rules) if isinstance(rules, DataFrame) else rules
+    counts = counted_once(df, {f"r{i}": F.expr(rule.bad) for i, rule in enumerate(rules)}, unique)
+    return _verdicts(counts, _checks(rules, unique), table_name)
+
+
+def routed_by_rules(df: DataFrame, rules: list[Rule], keys: list[str], known: DataFrame | None) -> DataFrame:
+    """``df`` once through all rules: ``_outcome``, the rules broken, and counts that add up.
+
+    A row that breaks a rule of severity FAIL is ``rejected``.  Of the others, rows with the same
+    keys become one, the smallest, which is ``ignored`` if ``known`` has its key and else
+    ``promoted``.  One scan and one shuffle: a rejected row is a group of its own.
+    ``_r0``, ``_r1``, ... and ``_rows`` say how many rows of ``df`` broke a rule and how many there were.
+    """
+    broken = [F.coalesce(F.expr(rule.bad), F.lit(False)) for rule in rules]
+    fails = [b for b, rule in zip(broken, rules) if rule.severity == "FAIL"]
+    bad = reduce(Column.__or__, fails, F.lit(False))
+    names = F.array_compact(F.array(*[F.when(b, F.lit(rule.name)) for b, rule in zip(broken, rules)]))
+    flagged = df.select(
+        F.struct(*df.columns).alias("_row"), names.alias("_broken"), F.when(bad, F.monotonically_increasing_id()).alias("_own"),
+        *[F.col(k).alias(f"_key_{k}") for k in keys], *[b.cast("int").alias(f"_r{i}") for i, b in enumerate(broken)],
+    )
+    grouped = flagged.groupBy(*[f"_key_{k}" for k in keys], "_own").agg(
+        F.min(F.struct("_row", "_broken")).alias("_least"), F.count("*").alias("_rows"), *[F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(rules))]
+    )
+    outcome = F.when(F.col("_own").isNotNull(), "rejected")
+    if known is not None:
+        stored = known.select(*[F.col(k).alias(f"_stored_{k}") for k in keys]).distinct().withColumn("_known", F.lit(True))
+        # NULL keys are rows like others: two of them are one, and a stored one is met again.
+        same = reduce(Column.__and__, [F.col(f"_key_{k}").eqNullSafe(F.col(f"_stored_{k}")) for k in keys])
+        grouped = grouped.join(stored, same & F.col("_own").isNull(), "left")
+        outcome = outcome.when(F.col("_known"), "ignored")
+    counts = ["_rows", *[f"_r{i}" for i in range(len(rules))]]
+    return grouped.select("_least._row.*", F.col("_least._broken").alias("broken_rules"), outcome.otherwise("promoted").alias("_outcome"), *counts)
+
+
 WEB_LOG_RULES = [
     Rule("time or code is missing", "timestamp IS NULL OR response_code IS NULL", "FAIL", "rows without time or code"),
     Rule("HTTP code out of range", "response_code NOT BETWEEN 100 AND 599", "FAIL", "rows with an impossible code"),

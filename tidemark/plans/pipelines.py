@@ -9,11 +9,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from tidemark.functions.exprs import months_back, on
 from tidemark.operators import loads
 from tidemark.operators import quality as dq
-from tidemark.sources.ledger import Change, Directory, Ledger
+from tidemark.sources.ledger import Change, Directory, Entry, Ledger
 from tidemark.sources.writers import VersionedTable
 
 LOG_SCHEMA = (
@@ -175,6 +176,44 @@ def load_transactions(ledger: Ledger, source: DataFrame, run_at: datetime, ts: s
     return sum(d.rows for d in new)
 
 
+HISTORY = "run_at timestamp_ntz, table_name string, check_name string, check_result string, issue_count bigint, check_details string"
+
+
+def load_checked(
+    ledger: Ledger,
+    staged: DataFrame,
+    rules: list[dq.Rule],
+    keys: list[str],
+    run_at: datetime,
+    table: str,
+    part: str | None = None,
+) -> Entry:
+    """Promote staged rows with insert-ignore, keep the rest, and note every check, in one commit.
+
+    Rows are checked while they are written: one write puts promoted rows into ``table`` and
+    rejected ones, with the rules they broke, into ``<table>_rejected``; the counts of the checks
+    are taken from that write and appended to ``dq_history``.  Running it again with the same rows
+    promotes none of them twice.
+    """
+    change = ledger.begin()
+    known = change.rows(table)
+    routed = dq.routed_by_rules(staged, rules, keys, None if known is None else known.select(*keys))
+    # Counted where rows are written, after the shuffle: a task that is run again counts once.
+    seen = Observation()
+    counts = [F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(rules))]
+    counts.append(F.count_if(F.col("_rows") > 1).alias("duplicates"))
+    rejected = StructType(list(staged.schema.fields)).add("broken_rules", ArrayType(StringType()))
+    change.route(
+        routed, "_outcome", {"promoted": table, "rejected": f"{table}_rejected"}, {table: staged.schema, f"{table}_rejected": rejected}, part, (seen, counts)
+    )
+    found = seen.get
+    checks = [(rule.name, rule.severity, rule.details, found[f"r{i}"]) for i, rule in enumerate(rules)]
+    checks.append((f"Duplicate {', '.join(keys)}", "FAIL", "keys occur more than once", found["duplicates"]))
+    rows = [(run_at, table, n, severity if count else "PASS", count, f"Found {count} {text}") for n, severity, text, count in checks]
+    change.append("dq_history", ledger.spark.createDataFrame(rows, HISTORY).coalesce(1))
+    return change.commit(f"{table} {run_at}")
+
+
 @dataclass
 class Warehouse:
     """The tables of the daily workflow: ``products_staging``, ``products``, ``facts``, ``daily`` and

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import money, on
+from tidemark.functions.scratch import scratch_path
 from tidemark.operators import quality as dq
+from tidemark.plans.pipelines import load_checked
 from tidemark.registry import registered
+from tidemark.sources.ledger import Ledger
 
 _STAGE_SQL = r"""
     WITH raw AS (SELECT
@@ -62,17 +65,17 @@ def dq_validate_clean(t) -> DataFrame:
     return dq.dq_validate_clean(staged_sales(t)).drop("raw_data").withColumn("price", F.col("price").cast("double"))
 
 
-@registered(_STAGE_SQL + """
-    SELECT 'fact' AS target, validation_status, count(*) AS row_count, sum(price::decimal(10,2))::double AS amount FROM marked WHERE validation_status = 'VALID' GROUP BY 1, 2
-    UNION ALL SELECT 'errors', 'Validation failed', count(*), NULL FROM marked WHERE validation_status = 'INVALID'
+@registered(_STAGE_SQL.replace("WITH raw AS (SELECT", "WITH raw AS (SELECT l_linenumber,").replace("clean AS (SELECT", "clean AS (SELECT order_id AS raw_order, price AS raw_price,") + """
+    SELECT 'fact' AS target, order_id, customer_id, product_id, order_date, quantity, price, status, NULL::varchar AS raw_order, NULL::varchar AS raw_price, NULL::varchar AS error_message
+    FROM marked WHERE validation_status = 'VALID'
+    UNION ALL SELECT 'errors', NULL, NULL, NULL, NULL, NULL, NULL, NULL, raw_order, raw_price, 'Validation failed' FROM marked WHERE validation_status = 'INVALID'
 """)
 def dq_route_valid_invalid(t) -> DataFrame:
     valid, errors = dq.dq_route_valid_invalid(dq.dq_validate_clean(staged_sales(t)))
-    facts = valid.agg(F.count("*").alias("row_count"), F.sum("price").cast("double").alias("amount"))
-    failed = errors.filter(F.json_object_keys("raw_data").isNotNull()).groupBy("error_message").agg(F.count("*").alias("row_count"))
-    return facts.select(F.lit("fact").alias("target"), F.lit("VALID").alias("validation_status"), "row_count", "amount").unionByName(
-        failed.select(F.lit("errors").alias("target"), F.col("error_message").alias("validation_status"), "row_count"), allowMissingColumns=True
-    )
+    facts = valid.select(F.lit("fact").alias("target"), "*").withColumn("price", F.col("price").cast("double"))
+    raw = lambda name: F.get_json_object("raw_data", f"$.{name}")
+    failed = errors.select(F.lit("errors").alias("target"), raw("order_id").alias("raw_order"), raw("price").alias("raw_price"), "error_message")
+    return facts.unionByName(failed, allowMissingColumns=True)
 
 
 @registered(_STAGE_SQL + """
@@ -156,14 +159,69 @@ def dq_rule_engine(t) -> DataFrame:
       UNION ALL SELECT 'Duplicate log_id', 'FAIL', count(*), 'keys occur more than once' FROM (SELECT log_id FROM logs GROUP BY 1 HAVING count(*) > 1))
 """)
 def dq_web_log_checks(t) -> DataFrame:
+    return dq.dq_web_log_checks(web_logs(t))
+
+
+def web_logs(t) -> DataFrame:
     event = F.col("event_id")
-    logs = t["events"].select(
+    return t["events"].select(
         (event - event % 2 + F.when(event % 100 == 1, 0).otherwise(event % 2)).alias("log_id"),
         F.when(F.col("user_id") % 50 != 0, F.col("ts")).alias("timestamp"),
         (100 + (F.col("user_id") * 7) % 520).alias("response_code"),
         (F.round(F.col("value") * 100).cast("bigint") - 100).alias("response_time_ms"),
     )
-    return dq.dq_web_log_checks(logs)
+
+
+def _promoted_logs(t) -> Ledger:
+    """The first half of the month is promoted in one run, the whole month in a second."""
+    logs = web_logs(t).withColumn("day", F.col("timestamp").cast("date"))
+    ledger = Ledger(t["events"].sparkSession, scratch_path(t["events"].sparkSession, "web-logs"))
+    for run_at, rows in ((datetime(2024, 1, 16), logs.filter(F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz"))), (datetime(2024, 2, 1), logs)):
+        load_checked(ledger, rows, dq.WEB_LOG_RULES, ["log_id"], run_at, "web_logs", part="day")
+    return ledger
+
+
+_LOGS_SQL = """
+    WITH logs AS (SELECT event_id // 2 * 2 + CASE WHEN event_id % 100 = 1 THEN 0 ELSE event_id % 2 END AS log_id,
+        CASE WHEN user_id % 50 <> 0 THEN ts END AS timestamp, 100 + (user_id * 7) % 520 AS response_code,
+        (value * 100)::decimal(12,2)::bigint - 100 AS response_time_ms FROM events),
+    flagged AS (SELECT *, timestamp IS NULL OR response_code IS NULL AS b0, response_code NOT BETWEEN 100 AND 599 AS b1,
+        response_time_ms < 0 AS b2, response_time_ms > 10000 AS b3 FROM logs),
+    runs AS (SELECT 1 AS run, * FROM flagged WHERE timestamp < timestamp '2024-01-16 00:00:00' UNION ALL SELECT 2, * FROM flagged),
+    valid AS (SELECT *, row_number() OVER (PARTITION BY run, log_id ORDER BY timestamp, response_code, response_time_ms) AS nth FROM runs
+              WHERE NOT (b0 OR b1 OR b2))
+"""
+
+
+@registered(_LOGS_SQL + """
+    SELECT 'promoted' AS outcome, log_id, timestamp, response_code, response_time_ms, NULL AS broken_rules FROM valid v WHERE nth = 1
+        AND (run = 1 OR NOT EXISTS (SELECT 1 FROM valid w WHERE w.run = 1 AND w.log_id = v.log_id))
+    UNION ALL
+    SELECT 'rejected', log_id, timestamp, response_code, response_time_ms, concat_ws('; ', CASE WHEN b0 THEN 'time or code is missing' END,
+        CASE WHEN b1 THEN 'HTTP code out of range' END, CASE WHEN b2 THEN 'Negative response time' END, CASE WHEN b3 THEN 'Slow response' END)
+    FROM runs WHERE b0 OR b1 OR b2
+""")
+def load_web_logs(t) -> DataFrame:
+    """Web logs promoted by day with insert-ignore, and the rows each run kept back."""
+    ledger = _promoted_logs(t)
+    columns = ["log_id", "timestamp", "response_code", "response_time_ms"]
+    promoted = ledger.rows("web_logs").select(F.lit("promoted").alias("outcome"), *columns, F.lit(None).cast("string").alias("broken_rules"))
+    rejected = ledger.rows("web_logs_rejected")
+    return promoted.unionByName(rejected.select(F.lit("rejected").alias("outcome"), *columns, F.array_join("broken_rules", "; ").alias("broken_rules")))
+
+
+@registered(_LOGS_SQL + """
+    , counted AS (SELECT run, 'time or code is missing' AS check_name, 'FAIL' AS severity, count(*) FILTER (WHERE b0) AS n, 'rows without time or code' AS txt FROM runs GROUP BY 1
+      UNION ALL SELECT run, 'HTTP code out of range', 'FAIL', count(*) FILTER (WHERE b1), 'rows with an impossible code' FROM runs GROUP BY 1
+      UNION ALL SELECT run, 'Negative response time', 'FAIL', count(*) FILTER (WHERE b2), 'rows with a negative time' FROM runs GROUP BY 1
+      UNION ALL SELECT run, 'Slow response', 'WARNING', count(*) FILTER (WHERE b3), 'rows slower than ten seconds' FROM runs GROUP BY 1
+      UNION ALL SELECT r.run, 'Duplicate log_id', 'FAIL', (SELECT count(*) FROM valid v WHERE v.run = r.run AND nth = 2), 'keys occur more than once' FROM (SELECT DISTINCT run FROM runs) r)
+    SELECT CASE run WHEN 1 THEN timestamp '2024-01-16 00:00:00' ELSE timestamp '2024-02-01 00:00:00' END AS run_at, 'web_logs' AS table_name, check_name,
+           CASE WHEN n = 0 THEN 'PASS' ELSE severity END AS check_result, n AS issue_count, 'Found ' || n || ' ' || txt AS check_details FROM counted
+""")
+def dq_history(t) -> DataFrame:
+    """What every check of every run found."""
+    return _promoted_logs(t).rows("dq_history")
 
 
 @registered("""
