@@ -72,7 +72,7 @@ def test_top_k_is_not_a_global_sort(tables):
     assert "TakeOrderedAndProject" in plan(ENTRIES["top_hot_keys"].run(tables))
 
 
-@pytest.mark.parametrize(("name", "scans"), [("dq_report", 1), ("dq_web_log_checks", 1), ("join_self_using", 1), ("json_contains", 3)])
+@pytest.mark.parametrize(("name", "scans"), [("dq_report", 1), ("dq_web_log_checks", 1), ("join_self_using", 1), ("json_contains", 3), ("json_shred_relational", 3), ("mart_funnel", 1), ("xml_wellformed_split", 1), ("xml_header_detail_join", 1)])
 def test_tables_are_read_once(name, scans, tables):
     assert plan(ENTRIES[name].run(tables)).count("Location: ") == scans
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import jsondoc
+from tidemark.functions.scratch import scratch_path
 
 
 def json_extract_typed(df: DataFrame, json_col: str, spec: dict[str, tuple[str, str]], keep: list[str] = ()) -> DataFrame:
@@ -36,26 +37,54 @@ def json_explode_items(df: DataFrame, json_col: str, path: str, element: str, ke
     return rows.select(*keep, "item.*") if element.lower().startswith("struct") else rows
 
 
+_API_DOCUMENT = (
+    "user_id bigint, name string, email string, settings struct<theme string, notifications boolean>, "
+    "order_id bigint, customer_id bigint, total decimal(18,2), items array<struct<id bigint, name string, qty int>>"
+)
+
+
+def json_shred_rows(df: DataFrame, json_col: str, route_col: str) -> DataFrame:
+    """API documents to tagged rows: ``table_name`` and one struct per table, of which the named one is set.
+
+    ``route_col`` (the endpoint) tells which tables a document feeds.  A document is parsed once, for all of them.
+    """
+    d = lambda path: F.col(f"_doc.{path}")
+    columns = {
+        "users": F.struct(d("user_id"), d("name"), d("email"), d("settings.theme"), d("settings.notifications")),
+        "orders": F.struct(d("order_id"), d("customer_id"), d("total")),
+    }
+    detail = lambda i: F.struct(
+        d("order_id").alias("order_id"), i["id"].alias("product_id"), i["name"].alias("product_name"), i["qty"].alias("quantity")
+    )
+    kinds = "order_id bigint, product_id bigint, product_name string, quantity int"
+    kinds = {
+        "users": "struct<user_id bigint, name string, email string, theme string, notifications boolean>",
+        "orders": "struct<order_id bigint, customer_id bigint, total decimal(18,2)>",
+        "order_details": f"struct<{kinds}>",
+    }
+
+    def tagged(name: str, value: Column) -> Column:
+        others = [(value if name == n else F.lit(None)).cast(kind).alias(n) for n, kind in kinds.items()]
+        return F.struct(F.lit(name).alias("table_name"), *others)
+
+    details = F.transform(F.coalesce(d("items"), F.array().cast("array<struct<id bigint, name string, qty int>>")), lambda i: tagged("order_details", detail(i)))
+    rows = F.when(F.col(route_col).like("/api/users/%"), F.array(tagged("users", columns["users"]))).when(
+        F.col(route_col).like("/api/orders/%"), F.concat(F.array(tagged("orders", columns["orders"])), details)
+    )
+    # The outer form with a test after it, as the plain one would parse every document twice.
+    parsed = df.select(route_col, F.from_json(json_col, _API_DOCUMENT).alias("_doc"))
+    return parsed.select(F.inline_outer(rows)).filter(F.col("table_name").isNotNull())
+
+
 def json_shred_relational(df: DataFrame, json_col: str, route_col: str) -> dict[str, DataFrame]:
     """API documents to users, orders and order details.
 
-    ``route_col`` (the endpoint) tells which table a document feeds; each output reads
-    only the members it needs.
+    The documents are parsed and their rows written once, in a directory per table; each result reads its own.
     """
-    users = df.filter(F.col(route_col).like("/api/users/%"))
-    orders = df.filter(F.col(route_col).like("/api/orders/%"))
-    read = lambda rows, schema: rows.select(F.from_json(json_col, schema).alias("d"))
-    return {
-        "users": read(
-            users, "user_id bigint, name string, email string, settings struct<theme string, notifications boolean>"
-        ).select("d.user_id", "d.name", "d.email", "d.settings.theme", "d.settings.notifications"),
-        "orders": read(orders, "order_id bigint, customer_id bigint, total decimal(18,2)").select("d.*"),
-        "order_details": read(orders, "order_id bigint, items array<struct<id bigint, name string, qty int>>")
-        .select("d.order_id", F.explode("d.items").alias("i"))
-        .select(
-            "order_id", F.col("i.id").alias("product_id"), F.col("i.name").alias("product_name"), F.col("i.qty").alias("quantity")
-        ),
-    }
+    rows, path = json_shred_rows(df, json_col, route_col), scratch_path(df.sparkSession, "shredded")
+    rows.write.partitionBy("table_name").parquet(path)
+    stored = df.sparkSession.read.schema(rows.schema).parquet(path)
+    return {name: stored.filter(F.col("table_name") == name).select(f"{name}.*") for name in ("users", "orders", "order_details")}
 
 
 def json_events_normalize(df: DataFrame, json_col: str, typed: dict[str, str], keep: list[str] = ()) -> DataFrame:
@@ -98,11 +127,18 @@ def _parsed(df: DataFrame, xml_col: str, schema: str | T.StructType) -> DataFram
     return df.withColumn("_x", F.from_xml(xml_col, _with_corrupt(schema), options))
 
 
+def xml_wellformed_flag(df: DataFrame, xml_col: str, schema: str | T.StructType) -> DataFrame:
+    """``df`` and whether the text parses, ``is_valid_xml``; NULL does not."""
+    good = F.col("_x").isNotNull() & F.col("_x._corrupt").isNull()
+    return _parsed(df, xml_col, schema).withColumn("is_valid_xml", good).drop("_x")
+
+
 def xml_wellformed_split(df: DataFrame, xml_col: str, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Rows whose text parses, and the others."""
-    parsed = _parsed(df, xml_col, schema)
-    bad = F.col("_x").isNull() | F.col("_x._corrupt").isNotNull()
-    return parsed.filter(~bad).drop("_x"), parsed.filter(bad).drop("_x")
+    """Rows whose text parses, and the others: parsed and written once, in two directories."""
+    flagged, path = xml_wellformed_flag(df, xml_col, schema), scratch_path(df.sparkSession, "wellformed")
+    flagged.write.partitionBy("is_valid_xml").parquet(path)
+    stored = df.sparkSession.read.schema(flagged.schema).parquet(path)
+    return stored.filter("is_valid_xml").drop("is_valid_xml"), stored.filter("not is_valid_xml").drop("is_valid_xml")
 
 
 def xml_header_extract(df: DataFrame, xml_col: str, schema: str | T.StructType, columns: dict[str, str], keep=()) -> DataFrame:

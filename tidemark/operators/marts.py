@@ -482,19 +482,26 @@ def mart_engagement(t: Tables) -> DataFrame:
     UNION ALL SELECT 3, 'purchase', (SELECT count(*) FROM p), round(1e2 * (SELECT count(*) FROM p) / nullif((SELECT count(*) FROM v), 0), 2)
 """)
 def mart_funnel(t: Tables, steps=("view", "click", "purchase")) -> DataFrame:
-    """Users that reach each step after the step before it: the first event of a kind later than the previous one."""
-    events = t["events"].select("user_id", "event_type", "ts")
-    kinds = [events.filter(F.col("event_type") == kind) for kind in steps]
-    reached = kinds[0].groupBy("user_id").agg(F.min("ts").alias("at_1"))
-    for number, rows in enumerate(kinds[1:], start=2):
-        previous = reached.select(F.col("user_id").alias("u"), F.col(f"at_{number - 1}").alias("before"))
-        later = (
-            rows.join(previous, (F.col("user_id") == F.col("u")) & (F.col("ts") > F.col("before")))
-            .groupBy(F.col("user_id").alias("u"))
-            .agg(F.min("ts").alias(f"at_{number}"))
-        )
-        reached = reached.join(later, F.col("user_id") == F.col("u"), "left").drop("u")
-    counts = reached.agg(*[F.count(f"at_{i}").alias(f"n_{i}") for i in range(1, len(steps) + 1)])
+    """Users that reach each step after the step before it: the first event of a kind later than the previous one.
+
+    One scan.  A user's events at one time are a set of kinds; such sets, in order, move the user from step to
+    step.  A day of a user is folded into a function, from the step at its start to the step at its
+    end, and the days' functions are applied one after another, so a task never holds all events of a user.
+    """
+    bits = [F.when(F.col("event_type") == kind, 1 << i) for i, kind in enumerate(steps)]
+    events = t["events"].filter(F.col("event_type").isin(*steps) & F.col("ts").isNotNull())
+    at_once = events.groupBy("user_id", "ts").agg(F.bit_or(F.coalesce(*bits)).alias("kinds"))
+    start = F.array(*[F.lit(i) for i in range(len(steps) + 1)])
+    ordered = lambda c: F.array_sort(F.collect_list(c))
+    days = at_once.groupBy("user_id", day("ts").alias("d")).agg(ordered(F.struct("ts", "kinds")).alias("times"))
+    # From every step at once; Spark has no shift by a column, so the bit is taken by division.
+    moved = lambda step, kinds: (step + F.call_function("div", kinds, F.pow(F.lit(2), step).cast("int")) % 2).cast("int")
+    folded = F.aggregate("times", start, lambda done, x: F.transform(done, lambda step: moved(step, x["kinds"])))
+    through = days.select("user_id", F.struct("d", folded.alias("f")).alias("day")).groupBy("user_id").agg(ordered("day").alias("days"))
+    last = F.aggregate("days", F.lit(0), lambda step, x: F.element_at(x["f"], step + 1))
+    # Events without a user are one first step and never a later one.
+    reached = through.select(F.when(F.col("user_id").isNull(), F.least(last, F.lit(1))).otherwise(last).alias("step"))
+    counts = reached.agg(*[F.count_if(F.col("step") >= i).alias(f"n_{i}") for i in range(1, len(steps) + 1)])
     table = [
         F.struct(F.lit(i).alias("step"), F.lit(kind).alias("step_name"), F.col(f"n_{i}").alias("users"))
         for i, kind in enumerate(steps, start=1)

@@ -127,23 +127,14 @@ def json_explode_items(t) -> DataFrame:
     UNION ALL SELECT 'order_details', l_orderkey, l_suppkey, 'service ' || l_suppkey, l_linenumber::double FROM lineitem
 """)
 def json_shred_relational(t) -> DataFrame:
-    out = docs.json_shred_relational(api_documents(t), "body", "endpoint")
-    label = F.concat_ws("|", "name", "email", "theme", F.col("notifications").cast("string"))
-    return stacked(
-        [
-            out["users"].select(
-                F.lit("users").alias("table_name"), F.col("user_id").alias("id"), F.lit(None).cast("bigint").alias("ref"),
-                label.alias("label"), F.lit(None).cast("double").alias("amount"),
-            ),
-            out["orders"].select(
-                F.lit("orders").alias("table_name"), F.col("order_id").alias("id"), F.col("customer_id").alias("ref"),
-                F.lit(None).cast("string").alias("label"), F.col("total").cast("double").alias("amount"),
-            ),
-            out["order_details"].select(
-                F.lit("order_details").alias("table_name"), F.col("order_id").alias("id"), F.col("product_id").alias("ref"),
-                F.col("product_name").alias("label"), F.col("quantity").cast("double").alias("amount"),
-            ),
-        ]
+    rows = docs.json_shred_rows(api_documents(t), "body", "endpoint")
+    label = F.concat_ws("|", "users.name", "users.email", "users.theme", F.col("users.notifications").cast("string"))
+    return rows.select(
+        "table_name",
+        F.coalesce("users.user_id", "orders.order_id", "order_details.order_id").alias("id"),
+        F.coalesce("orders.customer_id", "order_details.product_id").alias("ref"),
+        F.when(F.col("users").isNotNull(), label).otherwise(F.col("order_details.product_name")).alias("label"),
+        F.coalesce(F.col("orders.total").cast("double"), F.col("order_details.quantity").cast("double")).alias("amount"),
     )
 
 
@@ -233,8 +224,7 @@ def xml_wellformed_split(t) -> DataFrame:
     """Every tenth document has lost its end."""
     cut = F.expr("left(xml_content, length(xml_content) - 12)")
     broken = xml_documents(t).withColumn("xml_content", F.when(F.col("doc_id") % 10 == 0, cut).otherwise(F.col("xml_content")))
-    good, bad = docs.xml_wellformed_split(broken, "xml_content", ORDER_XML)
-    return good.select("doc_id", F.lit(True).alias("is_valid_xml")).unionByName(bad.select("doc_id", F.lit(False).alias("is_valid_xml")))
+    return docs.xml_wellformed_flag(broken, "xml_content", ORDER_XML).select("doc_id", "is_valid_xml")
 
 
 @registered("""
@@ -256,4 +246,6 @@ def xml_text_and_count(t) -> DataFrame:
     FROM orders JOIN items ON o_orderkey = order_id
 """)
 def xml_header_detail_join(t) -> DataFrame:
-    return docs.xml_header_detail_join(xml_header_extract(t), xml_items_explode(t), "order_id")
+    """Header columns beside every item; both come out of one parse."""
+    rows = docs.xml_items_explode(xml_documents(t), "xml_content", ORDER_XML, "items.item", _HEADER)
+    return rows.withColumn("total", F.col("total").cast("double"))
