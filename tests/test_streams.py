@@ -29,11 +29,24 @@ def test_only_new_files_are_read(spark):
 
 def test_late_rows_are_diverted(spark):
     root = scratch_path(spark, "st-late")
-    for wave in ([(1, 1, "a"), (2, 10, "b")], [(3, 2, "late"), (4, 9, "edge"), (5, 11, "c")], [(6, 10, "ok")]):
-        stream = _add(spark, root, *wave)
-        streams.st_late_data(stream, "ts", timedelta(days=1), f"{root}/ontime", f"{root}/late", f"{root}/progress", f"{root}/cp")
-    read = lambda name: rows(spark.read.schema(SCHEMA).parquet(f"{root}/{name}"), "k")
-    assert (read("late"), read("ontime")) == ([(3,)], [(1,), (2,), (4,), (5,), (6,)])
+    for wave in ([(1, 1, "a"), (2, 10, "b")], [(3, 2, "late"), (4, 9, "edge"), (5, 11, "c")], [(6, 10, "ok")], [(7, 9, "late"), (8, None, "no time")]):
+        data = [(k, d and datetime(2025, 1, d), v) for k, d, v in wave]
+        spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        streams.st_late_data(streams.file_stream(spark, f"{root}/in", SCHEMA), "ts", timedelta(days=1), f"{root}/out", f"{root}/cp")
+    read = lambda late: rows(streams.late_rows(spark, f"{root}/out", SCHEMA, late), "k")
+    assert (read(True), read(False)) == ([(3,), (7,)], [(1,), (2,), (4,), (5,), (6,), (8,)])
+
+
+def test_a_late_batch_is_computed_once(spark):
+    """Every batch costs one job over its rows and one row of state, however many came before."""
+    root = scratch_path(spark, "st-late-once")
+    jobs = []
+    for k in range(4):
+        tracker = spark.sparkContext.statusTracker()
+        before = set(tracker.getJobIdsForGroup(None))
+        streams.st_late_data(_add(spark, root, (k, k + 1, "x")), "ts", timedelta(days=1), f"{root}/out", f"{root}/cp")
+        jobs.append(len(set(tracker.getJobIdsForGroup(None)) - before))
+    assert len(set(jobs[1:])) == 1
 
 
 def test_upsert_and_repeated_batch(spark):

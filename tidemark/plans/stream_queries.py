@@ -64,13 +64,11 @@ def st_late_data(t) -> DataFrame:
     for wave in (early & ~held, ~early, early & held):
         t["events"].filter(wave).write.mode("append").parquet(f"{root}/in")
         stream = streams.file_stream(t.spark, f"{root}/in", EVENTS)
-        streams.st_late_data(
-            stream, "ts", timedelta(days=1), f"{root}/ontime", f"{root}/late", f"{root}/progress", f"{root}/checkpoint"
-        )
-    part = lambda name, label: t.spark.read.schema(EVENTS).parquet(f"{root}/{name}").select(
+        streams.st_late_data(stream, "ts", timedelta(days=1), f"{root}/out", f"{root}/checkpoint")
+    part = lambda late, label: streams.late_rows(t.spark, f"{root}/out", EVENTS, late).select(
         "event_id", "user_id", "event_type", F.lit(label).alias("arrival")
     )
-    return part("ontime", "on time").unionByName(part("late", "late"))
+    return part(False, "on time").unionByName(part(True, "late"))
 
 
 @registered("SELECT event_id, ts, user_id, event_type, value FROM events")

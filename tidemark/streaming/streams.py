@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,31 +56,37 @@ def st_window_metrics(
     return rows.select(wall("start"), wall("end"), *keys, *measures)
 
 
-def st_late_data(
-    stream: DataFrame, ts: str, delay: timedelta, on_time: str, late: str, progress: str, checkpoint: str
-) -> StreamingQuery:
+def st_late_data(stream: DataFrame, ts: str, delay: timedelta, target: str, checkpoint: str) -> StreamingQuery:
     """Divert rows older than ``delay`` before the newest time of all earlier batches.
 
-    Each batch writes its own directory, overwritten if the batch is repeated, and one
-    progress row with the newest time it saw.
+    A batch is computed once: one write deals its rows to ``target``'s directories by batch and ``late``,
+    and the newest time is observed in that write.  It is left beside the batch together with that of
+    all batches before, so the next one reads a single row.  A repeated batch overwrites its own.
     """
-    spark = stream.sparkSession
+    newest = lambda batch_id: f"{target}/_newest/batch={batch_id}"
     kind = stream.schema[ts].dataType.simpleString()
-    spark.createDataFrame([], f"batch bigint, newest {kind}").coalesce(1).write.mode("ignore").parquet(f"{progress}/batch=none")
 
     def split(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        seen = session.read.schema(f"batch bigint, newest {kind}").option("recursiveFileLookup", "true").parquet(progress)
-        edge = seen.filter(F.col("batch") < batch_id).agg(F.max("newest") - F.lit(delay)).scalar()
-        is_late = F.coalesce(F.col(ts) < edge, F.lit(False))
-        batch.filter(~is_late).write.mode("overwrite").parquet(f"{on_time}/batch={batch_id}")
-        batch.filter(is_late).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
-        newest = batch.agg(F.lit(batch_id).cast("bigint").alias("batch"), F.max(ts).alias("newest"))
-        newest.coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch={batch_id}")
+        before = session.read.schema("newest string").parquet(newest(batch_id - 1)).first()[0] if batch_id else None
+        edge = F.lit(before).cast(kind) - F.lit(delay)
+        seen = Observation()
+        dealt = batch.withColumn("late", F.coalesce(F.col(ts) < edge, F.lit(False)))
+        dealt = dealt.observe(seen, F.max(F.col(ts)).cast("string").alias("newest"))
+        dealt.write.mode("overwrite").partitionBy("late").parquet(f"{target}/batch={batch_id}")
+        known = [x for x in (before, seen.get["newest"]) if x is not None]  # times as text sort like times
+        last = session.createDataFrame([(max(known, default=None),)], "newest string")
+        last.coalesce(1).write.mode("overwrite").parquet(newest(batch_id))
 
     return drain_batches(stream, split, checkpoint)
 
 
+def late_rows(spark: SparkSession, target: str, schema: str, late: bool) -> DataFrame:
+    """What ``st_late_data`` stored: the rows that came late, or those that came on time."""
+    stored = spark.read.schema(f"{schema}, late boolean, batch bigint").parquet(target)
+    return stored.filter(F.col("late") if late else ~F.col("late")).drop("late", "batch")
+
+
 def st_dedup(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     """The first row of every key among copies that arrive within ``delay`` of each other."""
     return timed(stream, ts, delay).dropDuplicatesWithinWatermark([key])
