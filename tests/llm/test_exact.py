@@ -60,3 +60,22 @@ def test_colliding_short_digests_get_different_identifiers(edge, monkeypatch):
 def test_no_python_and_no_text_in_an_exchange(documents):
     plan = exact.equal_groups(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_large_group_is_spread_and_stays_whole(spark):
+    from tidemark.llm import common
+
+    rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 900).cast("string")).alias("k"))
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"))
+    joined = common.joined_with_groups(rows, groups, ["k"], "n", 9000)
+    assert sorted(joined.columns) == ["id", "k", "n"]
+    assert joined.count() == 9000 and joined.filter("k = 'hot' and n = 3000").count() == 3000
+    keys = spark.range(0).select("id", F.lit("x").alias("k"))
+    assert common.joined_with_groups(keys, groups, ["k"], "n", 0).count() == 0
+
+
+def test_copies_in_their_thousands(spark):
+    rows = [(k, "the same text " * 200 if k % 3 else f"text {k} " + "the same line. " * 90) for k in range(4000)]
+    got = exact.equal_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    large = [r for r in got if r.group_size > 1]
+    assert len(got) == 4000 and len(large) == 2666 and {r.keep_id for r in large} == {3998} and sum(r.kept for r in got) == 4000 - 2665

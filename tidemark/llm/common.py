@@ -49,3 +49,24 @@ def stably_numbered(df: DataFrame) -> tuple[DataFrame, str]:
     with contextlib.redirect_stdout(plan):
         df.explain()
     return numbered(written(df, "rows") if "Exchange" in plan.getvalue() else df)
+
+
+HEAVY_KEYS = 1000  # keys with more than one in so many of all rows are split
+
+
+def joined_with_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row of ``groups`` that has their ``key``; no task gets all rows of a large group.
+
+    ``groups`` says how many rows a key has.  A key with more than ``total / HEAVY_KEYS`` rows, of which
+    there are at most ``HEAVY_KEYS``, is spread over as many parts as it is times too large; its
+    group is copied to each.  Keys are told by a hash for this, and compared themselves in the join.
+    """
+    limit = max(1000, total // HEAVY_KEYS)
+    mark, parts, part = (fresh_name(rows, stem) for stem in ("mark", "parts", "part"))
+    heavy = groups.filter(F.col(size) > limit).groupBy(F.xxhash64(*key).alias(mark)).agg(F.ceil(F.max(size) / limit).alias(parts))
+    heavy = F.broadcast(heavy)
+    at = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce(parts, F.lit(1)))
+    spread = rows.withColumn(mark, F.xxhash64(*key)).join(heavy, mark, "left").withColumn(part, at).drop(mark, parts)
+    copies = groups.withColumn(mark, F.xxhash64(*key)).join(heavy, mark, "left")
+    copies = copies.withColumn(part, F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(parts, F.lit(1).cast("bigint")) - 1))).drop(mark, parts)
+    return spread.join(copies, [*key, part], how).drop(part)

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import written
-from tidemark.llm.common import fresh_name, numbered, stably_numbered, whole
+from tidemark.llm.common import fresh_name, joined_with_groups, numbered, stably_numbered, whole
 
 # A chunk ends at the first line or sentence end after this many characters, or at the most.
 CHUNK_MIN, CHUNK_MAX = 512, 4096
@@ -39,9 +39,10 @@ def recipes(docs: DataFrame, keep: list[str], text: str = "text", least: int = C
     stored, row = numbered(stored)
     places = stored.select(row, F.posexplode("_chunks").alias("place", "_chunk")).select(row, "place", "_chunk.*")
     # One row per distinct chunk; almost every short digest has one.
-    known = places.select("short", "size", "long").distinct()
-    known = known.withColumn("nth", F.row_number().over(W.partitionBy("short").orderBy("size", "long")))
-    identified = places.join(known, ["short", "size", "long"]).select(
+    known = places.groupBy("short", "size", "long").agg(F.count("*").alias("uses"))
+    known = written(known.withColumn("nth", F.row_number().over(W.partitionBy("short").orderBy("size", "long"))), "chunks")
+    uses = known.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    identified = joined_with_groups(places, known, ["short", "size", "long"], "uses", uses).select(
         row, F.struct("place", F.struct("short", "nth").alias("id")).alias("_at")
     )
     lists = identified.groupBy(row).agg(F.transform(F.array_sort(F.collect_list("_at")), lambda a: a["id"]).alias("_recipe"))
@@ -60,10 +61,10 @@ def equal_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """
     rows = recipes(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_whole")), ["doc_id"], "_whole")
     rows = written(rows, "recipe-lists")
-    same = rows.groupBy("_recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    same = written(rows.groupBy("_recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "recipe-groups")
     # Rows that repeat the id are told apart by a count, so that exactly one of them is kept.
     once = rows.groupBy("doc_id", "_recipe").agg(F.count("*").alias("_times"), F.first("text_sha256").alias("text_sha256"))
-    return once.join(same, "_recipe").select(
+    return joined_with_groups(once, same, ["_recipe"], "group_size", rows.count()).select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -33,8 +33,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from tidemark.functions.scratch import scratch_path
-from tidemark.llm.common import stably_numbered, whole
+from tidemark.functions.scratch import scratch_path, written
+from tidemark.llm.common import joined_with_groups, stably_numbered, whole
 
 SCHEMA = (
     "record_id string, record_type string, url string, date string, page_id bigint, refers_to bigint, "
@@ -383,14 +383,17 @@ def write_pages(pages: DataFrame, path: str, least: int = 0, id_col: str = "page
     """
     columns = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), whole(html).alias("html"))
     rows, row = stably_numbered(columns)
-    rows = rows.withColumnRenamed(row, "row").withColumns({"sha": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
+    rows = rows.withColumnRenamed(row, "row")
+    # Which pages revisit which is decided on digests; copies of a page never meet with their texts.
+    digests = rows.select("page_id", "row", F.sha1(F.col("html").cast("binary")).alias("sha"), F.octet_length("html").alias("size"))
+    digests = written(digests.filter(F.col("size") >= least), "page-digests")
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row"))
-    best = rows.filter(F.col("size") >= least).groupBy("sha", "size").agg(first.alias("best"))
-    told = rows.join(best, ["sha", "size"], "left")
-    again = F.col("best").isNotNull() & (F.col("best.row") != F.col("row"))
-    told.select(
-        "page_id", "row", "url", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("best.page_id")).alias("refers_to"), F.col("html").cast("binary").alias("payload")
-    ).write.format("warc").mode("append").save(path)
+    best = digests.groupBy("sha", "size").agg(first.alias("best"), F.count("*").alias("pages"))
+    best = written(best.filter("pages > 1"), "page-groups")
+    again = joined_with_groups(digests.drop("page_id"), best, ["sha", "size"], "pages", digests.count()).filter(F.col("best.row") != F.col("row"))
+    told = rows.join(again.select("row", F.lit(True).alias("again"), F.col("best.page_id").alias("refers_to")), "row", "left")
+    kind = F.when(F.col("again"), "revisit").otherwise("response")
+    told.select("page_id", "row", "url", kind.alias("record_type"), "refers_to", F.col("html").cast("binary").alias("payload")).write.format("warc").mode("append").save(path)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
