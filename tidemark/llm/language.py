@@ -201,5 +201,10 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
     model = fit(docs.filter(~held).select(F.col(id_col).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")))
     if not len(model.centroids):
-        return docs.filter(F.udf(has_letter, "boolean")(F.col(text)))
+
+        @F.pandas_udf("boolean")
+        def lettered(texts: pd.Series) -> pd.Series:
+            return texts.map(has_letter)
+
+        return docs.filter(lettered(F.col(text)))
     return docs.filter(~predict(model, F.col(text))["rejected"])
