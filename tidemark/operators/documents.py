@@ -48,32 +48,25 @@ def json_shred_rows(df: DataFrame, json_col: str, route_col: str) -> DataFrame:
 
     ``route_col`` (the endpoint) tells which tables a document feeds.  A document is parsed once, for all of them.
     """
+    parsed = df.select(F.col(route_col).alias("_route"), F.from_json(json_col, _API_DOCUMENT).alias("_doc"))
+    is_user, is_order = F.col("_route").like("/api/users/%"), F.col("_route").like("/api/orders/%")
+    # A row for the document itself, before those of its items.  The outer form, because the plain one
+    # makes Spark test the size of the array first, which parses every document a second time.
+    item = "struct<id: bigint, name: string, qty: int>"
+    items = F.when(is_order, F.coalesce("_doc.items", F.array().cast(f"array<{item}>"))).otherwise(F.array().cast(f"array<{item}>"))
+    rows = parsed.select("_route", "_doc", F.posexplode_outer(F.concat(F.array(F.lit(None).cast(item)), items)).alias("_pos", "_item"))
+    rows = rows.filter((is_user | is_order) & F.col("_pos").isNotNull())
     d = lambda path: F.col(f"_doc.{path}")
-    columns = {
-        "users": F.struct(d("user_id"), d("name"), d("email"), d("settings.theme"), d("settings.notifications")),
-        "orders": F.struct(d("order_id"), d("customer_id"), d("total")),
-    }
-    detail = lambda i: F.struct(
-        d("order_id").alias("order_id"), i["id"].alias("product_id"), i["name"].alias("product_name"), i["qty"].alias("quantity")
+    detail = F.struct(
+        d("order_id").alias("order_id"), F.col("_item.id").alias("product_id"), F.col("_item.name").alias("product_name"), F.col("_item.qty").alias("quantity")
     )
-    kinds = "order_id bigint, product_id bigint, product_name string, quantity int"
-    kinds = {
-        "users": "struct<user_id bigint, name string, email string, theme string, notifications boolean>",
-        "orders": "struct<order_id bigint, customer_id bigint, total decimal(18,2)>",
-        "order_details": f"struct<{kinds}>",
-    }
-
-    def tagged(name: str, value: Column) -> Column:
-        others = [(value if name == n else F.lit(None)).cast(kind).alias(n) for n, kind in kinds.items()]
-        return F.struct(F.lit(name).alias("table_name"), *others)
-
-    details = F.transform(F.coalesce(d("items"), F.array().cast("array<struct<id bigint, name string, qty int>>")), lambda i: tagged("order_details", detail(i)))
-    rows = F.when(F.col(route_col).like("/api/users/%"), F.array(tagged("users", columns["users"]))).when(
-        F.col(route_col).like("/api/orders/%"), F.concat(F.array(tagged("orders", columns["orders"])), details)
+    first = F.col("_pos") == 0
+    return rows.select(
+        F.when(~first, "order_details").when(is_user, "users").otherwise("orders").alias("table_name"),
+        F.when(first & is_user, F.struct(d("user_id"), d("name"), d("email"), d("settings.theme"), d("settings.notifications"))).alias("users"),
+        F.when(first & ~is_user, F.struct(d("order_id"), d("customer_id"), d("total"))).alias("orders"),
+        F.when(~first, detail).alias("order_details"),
     )
-    # The outer form with a test after it, as the plain one would parse every document twice.
-    parsed = df.select(route_col, F.from_json(json_col, _API_DOCUMENT).alias("_doc"))
-    return parsed.select(F.inline_outer(rows)).filter(F.col("table_name").isNotNull())
 
 
 def json_shred_relational(df: DataFrame, json_col: str, route_col: str) -> dict[str, DataFrame]:
