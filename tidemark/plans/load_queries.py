@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import day, mean, money, months_back, ntz, on, total
 from tidemark.functions.scratch import scratch_path
 from tidemark.operators import loads
+from tidemark.operators import quality as dq
 from tidemark.operators.joins import with_customer
 from tidemark.plans import pipelines
 from tidemark.registry import registered
-from tidemark.sources import writers
+from tidemark.sources import statistics, writers
 from tidemark.sources.ledger import Ledger
 from tidemark.sources.views import Question, SummaryView
 from tidemark.sources.writers import VersionedTable
@@ -439,7 +441,7 @@ def cdc_capture(t) -> DataFrame:
     SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 9 = 0 THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 10 <> 0
 """)
 def pipe_staging_to_prod(t) -> DataFrame:
-    """Orders are staged with missing customers and negative prices, and promoted."""
+    """Orders are staged with missing customers and negative prices, checked, let through the gate, promoted and analyzed."""
     spark, root = t["orders"].sparkSession, scratch_path(t["orders"].sparkSession, "pipe")
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
     rows = t["orders"].select(
@@ -448,9 +450,37 @@ def pipe_staging_to_prod(t) -> DataFrame:
     staging, production = VersionedTable(spark, f"{root}/staging"), VersionedTable(spark, f"{root}/production")
     staging.publish(rows)
     fixes = {"o_totalprice": F.when(price < 0, 0.0).otherwise(price)}
-    return pipelines.pipe_staging_to_prod(
-        staging, production, ["o_orderkey"], f"{root}/log", drop_if=F.col("o_custkey").isNull() | price.isNull(), fixes=fixes
-    )
+    name = f"tidemark_{uuid.uuid4().hex}"
+    checks = [dq.Rule("no customer", "o_custkey IS NULL"), dq.Rule("negative price", "o_totalprice < 0", "WARNING")]
+    try:
+        return pipelines.pipe_staging_to_prod(
+            staging, production, ["o_orderkey"], f"{root}/log", drop_if=F.col("o_custkey").isNull() | price.isNull(), fixes=fixes,
+            checks=checks, max_bad=rows.count() // 5, statistics=(name, ["o_orderkey", "o_custkey"]),
+        )
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the name alone; rows belong to ``production``
+
+
+@registered("""
+    SELECT 'o_orderkey' AS column_name, cast(min(o_orderkey) AS varchar) AS low, cast(max(o_orderkey) AS varchar) AS high, count_if(o_orderkey IS NULL)::bigint AS null_count, count(*) AS row_count FROM orders
+    UNION ALL SELECT 'o_custkey', cast(min(CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END) AS varchar), cast(max(CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END) AS varchar),
+      count_if(o_orderkey % 10 = 0 OR o_custkey IS NULL)::bigint, count(*) FROM orders
+    UNION ALL SELECT 'order_day', cast(min(o_orderdate)::date AS varchar), cast(max(o_orderdate)::date AS varchar), count_if(o_orderdate IS NULL)::bigint, count(*) FROM orders
+""")
+def load_statistics(t) -> DataFrame:
+    """What the catalog knows of a table's columns after two loads, each of which took the statistics anew."""
+    spark, name = t["orders"].sparkSession, f"tidemark_{uuid.uuid4().hex}"
+    key, columns = F.col("o_orderkey"), ["o_orderkey", "o_custkey", "order_day"]
+    rows = t["orders"].select("o_orderkey", F.when(key % 10 != 0, F.col("o_custkey")).alias("o_custkey"), day("o_orderdate").alias("order_day"))
+    table = VersionedTable(spark, scratch_path(spark, "analyzed"))
+    try:
+        for wave in (key % 3 == 0, key % 3 != 0):
+            table.append(rows.filter(wave))
+            count = statistics.analyze(table, name, columns)
+        told = statistics.column_statistics(spark, name, columns)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return told.drop("distinct_estimate").withColumn("row_count", F.lit(count).cast("bigint"))
 
 
 @registered(_FACTS_SQL + """

@@ -15,6 +15,7 @@ from tidemark.functions.exprs import months_back, on
 from tidemark.operators import loads
 from tidemark.operators import quality as dq
 from tidemark.sources.ledger import Change, Directory, Entry, Ledger
+from tidemark.sources.statistics import analyze
 from tidemark.sources.writers import VersionedTable
 
 LOG_SCHEMA = (
@@ -133,11 +134,13 @@ def pipe_staging_to_prod(
     checks: list[dq.Rule] = (),
     max_bad: int | None = None,
     process: str = "staging to production",
+    statistics: tuple[str, list[str]] | None = None,
 ) -> DataFrame:
-    """Check, cleanse and add staged rows to production, then clear staging.
+    """Check, cleanse and add staged rows to production, take its statistics, then clear staging.
 
     Staging is cleared only after the new state of production is published.  A failed
-    step is logged and raised, and leaves both tables as they were.
+    step is logged and raised, and leaves both tables as they were.  ``statistics`` is the catalog
+    name of production and the columns to analyze; a failure there is logged and holds nothing up.
     """
     spark, log = staging.spark, RunLog(staging.spark, process)
     staged, stored = staging.current(), production.current()
@@ -155,6 +158,8 @@ def pipe_staging_to_prod(
             return publish_counted(production, loads.unknown_rows(target, clean, keys), append=True), rejected
 
         log.step("promote", promote)
+        if statistics is not None:
+            log.step("statistics", lambda: analyze(production, *statistics), required=False)
         log.step("clear staging", lambda: staging.publish(staged.limit(0)) and 0)
     finally:
         if log.rows:

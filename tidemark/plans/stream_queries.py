@@ -11,8 +11,9 @@ from tidemark.functions.exprs import money, on
 from tidemark.functions.scratch import scratch_path
 from tidemark.operators import loads
 from tidemark.registry import registered
-from tidemark.sources.writers import KeyedTable
-from tidemark.streaming import streams
+from tidemark.sources.writers import KeyedTable, VersionedTable
+from tidemark.streaming import streams, toplist
+from tidemark.streaming.hotkeys import mark_hot
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -87,14 +88,42 @@ def st_dedup(t) -> DataFrame:
     WHERE e.event_type = 'click' AND p.event_type = 'purchase'
 """)
 def st_interval_join(t) -> DataFrame:
-    root, kind = _root(t, "join"), F.col("event_type")
-    clicks = _events(t).filter(kind == "click").select("user_id", "event_id", F.col("ts").alias("event_ts"))
-    bought = _events(t).filter(kind == "purchase").select(
-        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"), F.col("value").alias("amount")
-    )
-    joined = streams.st_interval_join(clicks, bought, "user_id", "event_ts", "purchase_ts", 3600, "1 hour")
-    streams.drain(joined.select("user_id", "event_id", "purchase_id", "amount"), f"{root}/data", f"{root}/checkpoint")
-    return t.spark.read.schema("user_id bigint, event_id bigint, purchase_id bigint, amount double").parquet(f"{root}/data")
+    """Two arrivals; after the first, users with more than a hundredth of its rows are dealt to several tasks."""
+    root, spark, kind = _root(t, "join"), t.spark, F.col("event_type")
+    hot = VersionedTable(spark, f"{root}/hot")
+    hot.publish(spark.createDataFrame([], "user_id bigint, salts int, from_slot bigint"))
+    edge = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for wave in (F.col("ts") < edge, F.col("ts") >= edge):
+        t["events"].filter(wave).write.mode("append").parquet(f"{root}/in")
+        events = streams.file_stream(spark, f"{root}/in", EVENTS)
+        clicks = events.filter(kind == "click").select("user_id", "event_id", F.col("ts").alias("event_ts"))
+        bought = events.filter(kind == "purchase").select(
+            "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"), F.col("value").alias("amount")
+        )
+        joined = streams.st_interval_join(clicks, bought, "user_id", "event_ts", "purchase_ts", 3600, "1 hour", hot.current())
+        streams.drain(joined.select("user_id", "event_id", "purchase_id", "amount"), f"{root}/data", f"{root}/checkpoint")
+        mark_hot(hot, spark.read.schema(EVENTS).parquet(f"{root}/in"), "user_id", "ts", 3600, 3600)
+    return spark.read.schema("user_id bigint, event_id bigint, purchase_id bigint, amount double").parquet(f"{root}/data")
+
+
+@registered("""
+    WITH s AS (SELECT date_trunc('day', ts) AS d, user_id, sum(value::decimal(12,2))::double AS amount FROM events
+      WHERE user_id IS NOT NULL AND value IS NOT NULL GROUP BY 1, 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY amount DESC, user_id) AS rank FROM s)
+    SELECT (d + INTERVAL 1 DAY)::timestamp AS window_end, cast(rank AS integer) AS rank, user_id AS item, amount FROM r
+    WHERE rank <= 10 AND d + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+""")
+def st_top_of_day(t, k: int = 10) -> DataFrame:
+    """The users with the largest sums of every closed day, over two arrivals that split a day."""
+    root, spark = _root(t, "top"), toplist.state_session(t.spark)
+    edge = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    for wave in (F.col("ts") < edge, F.col("ts") >= edge):
+        t["events"].filter(wave).write.mode("append").parquet(f"{root}/in")
+        stream = streams.file_stream(spark, f"{root}/in", EVENTS)
+        lists = toplist.st_top_lists(stream, "ts", "user_id", money("value"), k)
+        streams.drain(lists, f"{root}/data", f"{root}/checkpoint")
+    stored = t.spark.read.schema("window_end bigint, bucket int, item bigint, amount double").parquet(f"{root}/data")
+    return toplist.top_of_window(stored, k)
 
 
 @registered("""

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import loads
 from tidemark.sources.writers import KeyedTable
+from tidemark.streaming.hotkeys import deal, replicate, slot_of
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None, **options) -> DataFrame:
@@ -93,25 +94,39 @@ def st_dedup(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
 
 
 def st_interval_join(
-    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int, delay: str
+    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int, delay: str, hot: DataFrame | None = None
 ) -> DataFrame:
     """Rows of two streams with an equal key and at most ``seconds`` between them.
 
     The time bound lets Spark drop state that can no longer match.  As in the batch
-    form, the state is keyed by (key, time slot), so a busy key spreads over tasks.
+    form, the state is keyed by (key, time slot), so a busy key spreads over tasks.  With ``hot``, what
+    ``hotkeys.mark_hot`` has stored, a busy slot of a hot key does too: its left rows are
+    dealt to salts, its right rows are replicated to each.
     """
     span = f"interval {seconds} seconds"
-    slot = lambda c: F.floor(F.unix_seconds(c) / F.lit(seconds))
-    l = timed(left, left_ts, delay).withColumn("_slot", slot(left_ts))
-    r = timed(right, right_ts, delay).withColumnRenamed(key, f"_{key}")
-    r = r.withColumn("_slot_r", F.explode(F.sequence(slot(right_ts) - 1, slot(right_ts) + 1)))
+    l, r = interval_sides(timed(left, left_ts, delay), timed(right, right_ts, delay), key, left_ts, right_ts, seconds, hot)
+    r = r.withColumnsRenamed({key: f"_{key}", "_slot": "_slot_r", "_salt": "_salt_r"})
     near = (
         (F.col(key) == F.col(f"_{key}"))
         & (F.col("_slot") == F.col("_slot_r"))
         & (F.col(right_ts) >= F.col(left_ts) - F.expr(span))
         & (F.col(right_ts) <= F.col(left_ts) + F.expr(span))
     )
-    return l.join(r, near).drop("_slot", "_slot_r", f"_{key}")
+    if hot is not None:
+        near = near & (F.col("_salt") == F.col("_salt_r"))
+    return l.join(r, near).drop("_slot", "_slot_r", "_salt", "_salt_r", f"_{key}")
+
+
+def interval_sides(
+    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int, hot: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the slot, and the salt if keys may be ``hot``, at which their rows meet."""
+    slot = slot_of(right_ts, seconds)
+    l = left.withColumn("_slot", slot_of(left_ts, seconds))
+    r = right.withColumn("_slot", F.explode(F.sequence(slot - 1, slot + 1)))
+    if hot is None:
+        return l, r
+    return deal(l, key, "_slot", hot, left.columns), replicate(r, key, "_slot", hot)
 
 
 def st_upsert(
