@@ -12,7 +12,10 @@ _VERSION = "_version"
 
 
 def cost_based(spark: SparkSession) -> SparkSession:
-    """A session of the same application, with its catalog, that orders joins by statistics; ``spark`` keeps its settings."""
+    """A session of the same application, with its catalog, that orders joins by statistics; ``spark`` keeps its settings.
+
+    A session remembers a table as it first saw it: ask for one after ``analyze``, or refresh the table in it.
+    """
     session = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         session.conf.set(key, spark.conf.get(key))
