@@ -329,12 +329,55 @@ def layout_replicated(t) -> DataFrame:
 """)
 def gen_star_schema(t) -> DataFrame:
     """The generated orders, over as many keys as the stored orders, customers and parts have."""
-    star = generate.gen_star_schema(
+    return _star(t)["orders"].withColumn("total_amount", F.col("total_amount").cast("double"))
+
+
+def _star(t) -> dict[str, DataFrame]:
+    return generate.gen_star_schema(
         t["customer"].select(F.col("c_custkey").alias("id")),
         t["part"].select(F.col("p_partkey").alias("id")),
         t["orders"].select(F.col("o_orderkey").alias("id")),
     )
-    return star["orders"].withColumn("total_amount", F.col("total_amount").cast("double"))
+
+
+@registered("""
+    WITH c AS (SELECT c_custkey AS id, md5('customer:42:' || c_custkey) AS h FROM customer)
+    SELECT id AS customer_id, 'Customer ' || id AS customer_name, 'customer' || id || '@example.com' AS email,
+           ['USA', 'UK', 'Germany', 'France', 'Canada'][('0x' || substr(h, 1, 4))::integer % 5 + 1] AS country,
+           ['Regular', 'Premium', 'VIP'][('0x' || substr(h, 5, 4))::integer % 3 + 1] AS customer_segment,
+           (date '2024-01-01' - ('0x' || substr(h, 9, 4))::integer % 1000)::date AS registration_date
+    FROM c
+""")
+def gen_star_customers(t) -> DataFrame:
+    return _star(t)["customers"]
+
+
+@registered("""
+    WITH p AS (SELECT p_partkey AS id, md5('product:42:' || p_partkey) AS h FROM part)
+    SELECT id AS product_id, 'Product ' || id AS product_name,
+           ['Electronics', 'Clothing', 'Food', 'Books', 'Home'][('0x' || substr(h, 5, 4))::integer % 5 + 1] AS category,
+           ((('0x' || substr(h, 1, 4))::integer + 1000) / 100.0)::decimal(10,2)::double AS unit_price
+    FROM p
+""")
+def gen_star_products(t) -> DataFrame:
+    return _star(t)["products"].withColumn("unit_price", F.col("unit_price").cast("double"))
+
+
+@registered("""
+    WITH o AS (SELECT o_orderkey AS order_id, md5('order:42:' || o_orderkey) AS h FROM orders),
+    ids AS (SELECT order_id, unnest(range(1, 2 + ('0x' || substr(h, 17, 4))::integer % 5)) AS item_no FROM o),
+    i AS (SELECT order_id, item_no, md5('item:42:' || order_id || ':' || item_no) AS h FROM ids),
+    c AS (SELECT order_id, cast(item_no AS integer) AS item_no, ('0x' || substr(h, 1, 8))::bigint % (SELECT count(*) FROM part) AS product_id,
+                 1 + ('0x' || substr(h, 9, 4))::integer % 5 AS quantity,
+                 CASE WHEN ('0x' || substr(h, 13, 4))::integer % 10 >= 7 THEN ('0x' || substr(h, 13, 4))::integer % 20 ELSE 0 END AS discount_percentage FROM i),
+    p AS (SELECT *, ('0x' || substr(md5('product:42:' || product_id), 1, 4))::integer + 1000 AS cents FROM c)
+    SELECT order_id, item_no, product_id, quantity, discount_percentage, (cents / 100.0)::decimal(10,2)::double AS unit_price,
+           round(cents::decimal(8,0) * 0.01 * quantity::decimal(2,0) * (100 - discount_percentage)::decimal(3,0) * 0.01, 2)::decimal(12,2)::double AS subtotal
+    FROM p
+""")
+def gen_star_items(t) -> DataFrame:
+    """The items whose sums are the totals of ``gen_star_schema``."""
+    return _star(t)["order_items"].withColumns({c: F.col(c).cast("double") for c in ("unit_price", "subtotal")})
 
 
 @registered("""
