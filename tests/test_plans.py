@@ -49,6 +49,12 @@ def test_bucketed_join_and_aggregate_do_not_shuffle(spark, tables):
         assert plan(plain).count("Exchange") > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert facts.count() == tables["orders"].count() and [x for x in spark.catalog.listTables() if x.name.startswith("tidemark_")] == []
+    named = layouts.layout_hash(tables["customer"], "c_custkey", 4, name="kept_buckets")
+    try:
+        assert spark.catalog.tableExists("kept_buckets") and named.count() == tables["customer"].count()
+    finally:
+        spark.sql("DROP TABLE kept_buckets")
 
 
 def test_partition_pruning_by_month(spark, tables):

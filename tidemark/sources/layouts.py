@@ -59,11 +59,13 @@ def layout_hash(
     One task writes, and later reads, each bucket; by default there are as many as the
     session has shuffle partitions.  A value with a large part of all rows does not suit
     buckets: with ``max_share`` the keys are counted first, and one above it raises ``HotKey``.
+    Only a table that was given a ``name`` stays in the catalog; the returned one knows its buckets without.
     """
     spark = df.sparkSession
     n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if max_share is not None and (share := hottest_share(df, key)) > max_share:
         raise HotKey(f"one value of {key} holds {share:.0%} of the rows; shuffle instead, so that it can be split")
+    passing = name is None
     name = name or f"tidemark_{uuid.uuid4().hex}"
     (
         df.repartition(n, key).write.bucketBy(n, key)
@@ -71,7 +73,10 @@ def layout_hash(
         .option("path", path or scratch_path(spark, name))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    stored = spark.table(name)
+    if passing:
+        spark.sql(f"DROP TABLE {name}")  # stored under a path, so its files stay
+    return stored
 
 
 def colocated_pair(
