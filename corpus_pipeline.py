@@ -27,7 +27,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts with a five-word Jaccard similarity of 0.8 or more the one with the smallest id."""
+    """Near fingerprints bring texts together; of each component with a five-word Jaccard similarity of 0.8 or more the smallest id stays."""
     return simhash.drop_near_copies(docs)
 
 

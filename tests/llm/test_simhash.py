@@ -4,8 +4,9 @@ from collections import defaultdict
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from tests.llm.conftest import edge_rows, ids_and, prose
-from tidemark.llm import simhash
+from tidemark.llm import jaccard, simhash
 from tidemark.llm.components import stars
 
 
@@ -99,3 +100,42 @@ def test_components_of_a_chain_and_of_a_hub(spark):
 def test_fingerprints_of_long_texts_do_not_depend_on_the_pieces():
     text = prose(8, 70_000)
     assert simhash.fingerprint(text) == brute_print(text)
+
+
+def test_pairs_within_the_budget_share_a_group(spark):
+    draw = np.random.default_rng(11)
+    values = []
+    for center in draw.integers(0, 2**63, 30, dtype=np.uint64):
+        for _ in range(25):
+            v = int(center)
+            for bit in draw.integers(0, 64, draw.integers(0, 9)):
+                v ^= 1 << int(bit)
+            values.append(v)
+    v = np.array(values, np.uint64)  # some come twice
+    frame = spark.createDataFrame([(k, int(x)) for k, x in enumerate(v.view(np.int64))], "node bigint, fp bigint").repartition(5)
+    held = {}
+    for r in simhash.near_groups(frame).collect():
+        held.setdefault(r.group, []).append(r.node)
+    assert all(len(set(nodes)) == len(nodes) > 1 for nodes in held.values())
+    near = np.argwhere(np.triu(np.bitwise_count(v[:, None] ^ v[None, :]) <= simhash.SET_BITS_APART, 1))
+    together = {(min(a, b), max(a, b)) for nodes in held.values() for a in nodes for b in nodes if a != b}
+    assert {tuple(p) for p in near.tolist()} <= together
+    root = simhash._connect(np.arange(len(v)), *near.T)
+    assert all(len(set(root[nodes].tolist())) == 1 for nodes in held.values())
+
+
+def test_the_stage_brings_texts_together_by_fingerprints(spark, monkeypatch):
+    rows = [(k, prose(50 + k // 2, 200) + " end" * (k % 2)) for k in range(12)]
+    met = []
+    walked = simhash.near_groups
+
+    def watched(prints, *args):
+        met.append((prints, walked(prints, *args)))
+        return met[-1][1]
+
+    monkeypatch.setattr(simhash, "near_groups", watched)
+    kept = corpus_pipeline.simhash_near_dedup(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 12, 2))
+    ((prints, groups),) = met
+    assert sorted(r.fp for r in prints.collect()) == sorted(np.array([simhash.set_fingerprint(jaccard.shingles(t)) for _, t in rows], np.uint64).view(np.int64).tolist())
+    assert groups.select("group").distinct().count() == 6 and groups.count() == 12

@@ -1,20 +1,21 @@
 """Near-duplicates by the Jaccard similarity of the sets of word shingles.
 
-Two texts are linked when their sets share at least ``similarity`` of their union.  Candidates
-come from min-wise hashes: ``BANDS`` bands of ``ROWS`` hashes each, and texts that agree on a
+Two texts are linked when their sets share at least ``similarity`` of their union.  The caller
+brings texts together by a fingerprint of the set.  What is too far apart for that comes from
+min-wise hashes: ``BANDS`` bands of ``ROWS`` hashes each, and texts that agree on a
 whole band meet.  At a similarity of exactly 0.8 three pairs in a million agree on no band, and
-fewer the closer the texts are.  Texts that meet are told apart by their sketches, one byte of
-every hash, and only those that look alike have their whole sets compared: what is linked is
+fewer the closer the texts are.  Texts that meet there are told apart by their sketches, one byte of
+every hash.  Those that look alike either way have their whole sets compared: what is linked is
 decided by the sets, never by the hashes.
 
-No step gives out a row per pair.  Texts that look alike in a band form a group, and groups of
-the same texts are one.  A task holds the sets of one group, and gives out a star per component.
+No step gives out a row per pair.  Texts that look alike form a group, and groups of
+the same texts are one, whichever way they were found.  A task holds the sets of one group, and gives out a star per component.
 Texts of equal sets are one node throughout, so copies cost nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -117,23 +118,29 @@ def similar(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     return _joined(len(sets), near)
 
 
-def similar_roots(rows: DataFrame, row: str, text: str, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def similar_roots(
+    rows: DataFrame, row: str, text: str, fingerprint: Callable[[np.ndarray], int], near_groups: Callable[[DataFrame], DataFrame],
+    shingle: int = SHINGLE, similarity: float = SIMILARITY,
+) -> DataFrame:
     """``(row, root)`` for every row: the smallest row reachable over links.
 
-    ``row`` must number the rows, and be the same each time they are read.
+    ``row`` must number the rows, and be the same each time they are read.  ``near_groups`` turns
+    ``(node, fp)``, the ``fingerprint`` of every different set, into ``(group, node)``.
     """
     fewest = _fewest_equal(similarity)
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, bands, bytes_ = [], [], []
+            keys, prints, bands, bytes_ = [], [], [], []
             for content in batch["text"]:
                 hashes = shingles(content, shingle)
                 least = least_hashes(hashes)
                 keys.append(xxhash.xxh128_digest(hashes.tobytes()))
+                prints.append(fingerprint(hashes))
                 bands.append(_band_keys(least))
                 bytes_.append(((least * _MIX) >> np.uint64(56)).astype(np.uint8).tobytes())
-            yield pd.DataFrame({"row": batch["row"], "key": keys, "bands": bands, "sketch": bytes_})
+            prints = np.array(prints, np.uint64).view(np.int64)
+            yield pd.DataFrame({"row": batch["row"], "key": keys, "fp": prints, "bands": bands, "sketch": bytes_})
 
     def grouped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for nodes, sketches in _runs(batches):
@@ -156,16 +163,18 @@ def similar_roots(rows: DataFrame, row: str, text: str, shingle: int = SHINGLE,
                 yield pd.DataFrame({"a": nodes[other], "b": nodes[labels[other]]})
 
     texts = rows.select(F.col(row).alias("row"), whole(text).alias("text"))
-    sketched = written(texts.mapInPandas(sketch, "row bigint, key binary, bands array<bigint>, sketch binary"), "sketches")
+    sketched = written(texts.mapInPandas(sketch, "row bigint, key binary, fp bigint, bands array<bigint>, sketch binary"), "sketches")
     classes = sketched.groupBy("key").agg(F.min("row").alias("node"))
-    nodes = written(sketched.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "bands", "sketch"), "nodes")
+    nodes = written(sketched.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "fp", "bands", "sketch"), "nodes")
     entries = nodes.select(F.explode("bands").alias("band"), "node")
     met = entries.withColumn("n", F.count("*").over(Window.partitionBy("band"))).filter("n > 1").select("band", "node")
     near = met.join(nodes.select("node", "sketch"), "node").select("band", "node", "sketch").repartition("band").sortWithinPartitions("band")
-    groups = written(near.mapInPandas(grouped, "group bigint, node bigint").distinct(), "groups")
+    found = written(near_groups(nodes.select("node", "fp")).union(near.mapInPandas(grouped, "group bigint, node bigint")).distinct(), "found")
+    names = found.groupBy("group").agg(F.bit_xor(F.xxhash64("node")).alias("name"))
+    groups = written(found.join(names, "group").select(F.col("name").alias("group"), "node").distinct(), "groups")
     wanted = groups.select(F.col("node").alias("row")).distinct()
     whole_sets = texts.join(wanted, "row", "left_semi").mapInPandas(sets, "node bigint, hashes binary")
     meeting = groups.join(whole_sets, "node").select("group", "node", "hashes").repartition("group").sortWithinPartitions("group")
     roots = stars(meeting.mapInPandas(linked, "a bigint, b bigint"))
-    found = classes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
-    return sketched.select("row", "key").join(found, "key").select("row", "root")
+    known = classes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    return sketched.select("row", "key").join(known, "key").select("row", "root")

@@ -11,11 +11,14 @@ Only distinct fingerprints are walked, 8 bytes each, so copies cost nothing.  A
 about 50 bytes per fingerprint below one node; the walk skips pairs of nodes already known to
 be connected, so a dense cluster costs no pair per link.  With six blocks a node holds one in
 two million fingerprints; ``blocks`` raises that number for larger corpora.
+
+The pipeline's stage walks the same tries over fingerprints of whole shingle sets, with a wider
+budget: what is connected under a node forms a group, and the sets of a group are then compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,10 +33,13 @@ from tidemark.llm.common import fresh_name, stably_numbered, whole
 from tidemark.llm.components import stars
 
 SHINGLE, BITS_APART, BLOCKS = 4, 4, 6
+SET_BITS_APART, SET_BLOCKS = 6, 8
 SEED = 42
 _SMALL = 64  # pairs of leaves that are compared directly
 _WAVE = 250_000  # node pairs, or leaf pairs, held at once
 _FILL = 200_000  # fingerprints walked together
+_CHUNK = 65_536  # hashes looked at together
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -50,16 +56,30 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     ends = np.cumsum(sizes + 1) - 1
     m = n - shingle + 1
     counts = np.zeros(64, np.int64)
-    for at in range(0, m, 65_536):  # bounded memory for texts of any length
-        to = min(m, at + 65_536)
+    for at in range(0, m, _CHUNK):  # bounded memory for texts of any length
+        to = min(m, at + _CHUNK)
         first = (ends[at:to] - sizes[at:to]).tolist()
         last = ends[at + shingle - 1 : to + shingle - 1].tolist()
-        h = np.array([hashed(joined[s:e], SEED) for s, e in zip(first, last)], np.uint64)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        full = len(bits) // 128 * 128
-        counts += bits[:full].reshape(-1, 128, 64).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
-        counts += bits[full:].sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > m, bitorder="little").view(np.uint64)[0])
+        counts += _bits_set(np.array([hashed(joined[s:e], SEED) for s, e in zip(first, last)], np.uint64))
+    return _majority(counts, m)
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """Unsigned 64 bits of a set of hashes; a bit is set when it is set in over half of them."""
+    parts = (hashes[at : at + _CHUNK] for at in range(0, len(hashes), _CHUNK))
+    return _majority(sum(map(_bits_set, parts)), len(hashes))
+
+
+def _bits_set(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    bits = np.unpackbits(np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    full = len(bits) // 128 * 128
+    blocks = bits[:full].reshape(-1, 128, 64).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    return blocks + bits[full:].sum(axis=0, dtype=np.int64)
+
+
+def _majority(counts: np.ndarray, n: int) -> int:
+    return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
@@ -193,11 +213,10 @@ def _restore(values: np.ndarray, order: list[int], widths: list[int]) -> np.ndar
     return out
 
 
-def near_links(values: DataFrame, budget: int = BITS_APART, blocks: int = BLOCKS) -> DataFrame:
-    """Links ``(a, b)`` that connect exactly what pairs within ``budget`` bits connect.
+def _walked(values: DataFrame, budget: int, blocks: int, give: Callable[[np.ndarray, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+    """What ``give`` makes of the fingerprints below some nodes, and of the labels of the components there.
 
-    ``values`` has one column ``fp`` of distinct fingerprints.  Inside a task only a star per
-    component is given out, not every pair.
+    ``values`` has one column ``fp`` of distinct fingerprints; each is looked at once per trie.
     """
     if blocks <= budget:
         raise ValueError("more blocks than errors are needed")
@@ -220,10 +239,8 @@ def near_links(values: DataFrame, budget: int = BITS_APART, blocks: int = BLOCKS
                 hi = np.r_[lo[1:], len(bits)]
                 many = hi - lo > 1
                 labels = walk(bits, lo[many], hi[many], lead, budget)
-                other = np.flatnonzero(labels != np.arange(len(labels)))
-                if len(other):
-                    back = _restore(bits, order, widths).view(np.int64)
-                    yield pd.DataFrame({"a": back[other], "b": back[labels[other]]})
+                if (labels != np.arange(len(labels))).any():
+                    yield give(_restore(bits, order, widths).view(np.int64), labels)
 
         held: list[pd.DataFrame] = []
         for batch in batches:
@@ -240,7 +257,44 @@ def near_links(values: DataFrame, budget: int = BITS_APART, blocks: int = BLOCKS
         if held:
             yield from finish(pd.concat(held, ignore_index=True))
 
-    return rows.mapInPandas(join, "a bigint, b bigint")
+    return rows.mapInPandas(join, schema)
+
+
+def near_links(values: DataFrame, budget: int = BITS_APART, blocks: int = BLOCKS) -> DataFrame:
+    """Links ``(a, b)`` that connect exactly what pairs within ``budget`` bits connect.
+
+    ``values`` has one column ``fp`` of distinct fingerprints.  Inside a task only a star per
+    component is given out, not every pair.
+    """
+
+    def star(prints: np.ndarray, labels: np.ndarray) -> pd.DataFrame:
+        other = np.flatnonzero(labels != np.arange(len(labels)))
+        return pd.DataFrame({"a": prints[other], "b": prints[labels[other]]})
+
+    return _walked(values, budget, blocks, star, "a bigint, b bigint")
+
+
+def near_groups(prints: DataFrame, budget: int = SET_BITS_APART, blocks: int = SET_BLOCKS) -> DataFrame:
+    """``(group, node)`` for the columns ``node`` and ``fp``: any two nodes within ``budget`` bits share a group.
+
+    A group holds what is connected below one node of a trie, never more than a component.
+    Nodes in no group are left out, and groups of the same fingerprints are one.
+    """
+
+    def members(prints: np.ndarray, labels: np.ndarray) -> pd.DataFrame:
+        order = np.argsort(labels, kind="stable")
+        order = order[np.bincount(labels)[labels[order]] > 1]
+        label, fp = labels[order], prints[order]
+        first = np.r_[True, label[1:] != label[:-1]]
+        mixed = fp.view(np.uint64) * _MIX
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX
+        names = np.bitwise_xor.reduceat(mixed, np.flatnonzero(first)).view(np.int64)
+        return pd.DataFrame({"group": names[np.cumsum(first) - 1], "fp": fp})
+
+    values = prints.groupBy("fp").agg(F.count("*").alias("n"))
+    apart = _walked(values.select("fp"), budget, blocks, members, "group bigint, fp bigint").distinct()
+    equal = values.filter("n > 1").select(F.col("fp").alias("group"), "fp")
+    return apart.union(equal).join(prints, "fp").select("group", "node")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = BITS_APART, blocks: int = BLOCKS) -> DataFrame:
@@ -259,16 +313,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = jaccard.SHINGLE, similarity: float = jaccard.SIMILARITY) -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = jaccard.SHINGLE, similarity: float = jaccard.SIMILARITY, budget: int = SET_BITS_APART, blocks: int = SET_BLOCKS) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest id.
 
     Links are pairs whose sets of ``shingle`` words have a Jaccard similarity of at least
-    ``similarity``.  Such pairs lie up to 13 bits apart in sf0.1, for which no order of blocks leaves
-    enough leading bits, so they are found by ``jaccard`` and not by the walk.
+    ``similarity``.  Fingerprints of the sets within ``budget`` bits bring texts together, and the sets
+    decide.  Some pairs of that similarity lie further apart than any order of blocks can carry;
+    so that none is lost, the bands of ``jaccard`` bring texts together as well.
     """
     rows, row = stably_numbered(docs)
     ids = written(rows.select(F.col(row).alias("_row"), F.col(id_col).alias("_id")), "ids")
-    roots = jaccard.similar_roots(rows, row, text, shingle, similarity)
+    roots = jaccard.similar_roots(rows, row, text, set_fingerprint, lambda prints: near_groups(prints, budget, blocks), shingle, similarity)
     best = roots.join(ids, roots["row"] == ids["_row"]).groupBy("root").agg(
         F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id"), F.col("_row"))).alias("_best")
     )
