@@ -20,6 +20,12 @@ def export_csv(df: DataFrame, path: str, sep: str = ",", null: str = "") -> str:
     return path
 
 
+def export_xml(df: DataFrame, path: str, row_tag: str, root_tag: str, records: int = 100_000) -> str:
+    """Files of at most ``records`` elements each, since an XML file is read by one task."""
+    df.write.format("xml").options(rowTag=row_tag, rootTag=root_tag, maxRecordsPerFile=records).save(path)
+    return path
+
+
 def copy_table(df: DataFrame, path: str, order_by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Copy into another layout: a different number of files, sorted within each."""
     laid = df.repartition(partitions) if partitions else df
@@ -28,13 +34,27 @@ def copy_table(df: DataFrame, path: str, order_by: list[str] | None = None, part
     return df.sparkSession.read.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "errorifexists") -> str:
+TASK_ROWS = 1_000_000  # rows a task sorts when it is given a number of rows
+
+
+def tasks_for(rows: int, each: int) -> int:
+    return max(1, -(-rows // each))
+
+
+def write_partitioned(df: DataFrame, path: str, *columns: str, mode: str = "errorifexists", rows: int | None = None) -> str:
     """One directory per value.
 
     The rebalance hint shuffles on the partition columns, so a directory gets few
     files, and lets AQE split the shuffle partition of a value that holds many rows.
+
+    AQE goes by compressed bytes, and a task sorts what it gets.  Rows of a column or two compress to
+    almost nothing, so one task would sort all of them.  Given the number of ``rows``, ranges of
+    about ``TASK_ROWS`` are dealt instead; a value may fill several, and a directory has a file of each.
     """
-    balanced = df.hint("rebalance", *[F.col(c) for c in columns])
+    if rows is None:
+        balanced = df.hint("rebalance", *[F.col(c) for c in columns])
+    else:
+        balanced = df.repartitionByRange(tasks_for(rows, TASK_ROWS), *[F.col(c) for c in columns], F.rand(42))
     balanced.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
     return path
 
