@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import scratch_path
+from tidemark.plans import load_queries
 from tidemark.sources import footers, writers
 
 
@@ -19,3 +20,12 @@ def test_narrow_rows_of_one_value_are_written_by_several_tasks(spark, monkeypatc
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [(1, 9000, 0, 8999), (2, 900, 9000, 9899), (None, 100, 9900, 9999)]))
     held = rows_per_file(spark, path)
     assert sum(held) == 10_000 and max(held) < 2500 and len(held) <= 10 + 3
+
+
+def test_facts_are_joined_by_tasks_of_bounded_rows(spark, tables, monkeypatch):
+    monkeypatch.setattr(load_queries, "_JOINED", 500)
+    facts = load_queries.sales_facts(load_queries._dealt(tables))
+    held = [r["count"] for r in facts.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == tables["lineitem"].count() and max(held) < 1500
+    plain = load_queries.sales_facts(tables)
+    assert facts.exceptAll(plain).isEmpty() and plain.exceptAll(facts).isEmpty()

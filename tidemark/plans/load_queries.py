@@ -265,6 +265,19 @@ def sales_facts(t) -> DataFrame:
     )
 
 
+_JOINED = 500_000  # line items that a task joins and groups
+
+
+def _dealt(t) -> dict[str, DataFrame]:
+    """The tables of ``sales_facts``, dealt by number of rows.
+
+    A task that joins them goes on to group its rows by transaction and by customer, three hash maps
+    of nearly all rows; AQE sizes it by compressed bytes, which tell little about that memory.
+    """
+    tasks = writers.tasks_for(t["lineitem"].count(), _JOINED)
+    return {"lineitem": t["lineitem"].repartition(tasks, "l_orderkey"), "orders": t["orders"].repartition(tasks, "o_orderkey")}
+
+
 _DAILY = """
     SELECT sale_date, product_key, store_key, count(DISTINCT transaction_id) AS transaction_count, sum(quantity)::bigint AS total_quantity,
            sum(total_amount)::double AS total_revenue, sum(total_amount)::double / count(*) AS avg_transaction_amount,
@@ -297,7 +310,7 @@ def agg_refresh_daily(t, refreshed: date = date(2001, 7, 31)) -> DataFrame:
 
     Only the directory of the day's month is read and written.
     """
-    facts = sales_facts(t)
+    facts = sales_facts(_dealt(t))
     today = F.col("sale_date") == on(refreshed)
     early = loads.daily_sales(facts.filter(~today | (F.col("l_linenumber") != 2)))
     path = _stored_daily(early)
@@ -312,7 +325,7 @@ def agg_refresh_daily(t, refreshed: date = date(2001, 7, 31)) -> DataFrame:
 """ + _DAILY + " FROM f GROUP BY 1, 2, 3")
 def load_late_facts(t) -> DataFrame:
     """The last lines of the orders of the final month arrive late; only the months they touch are rewritten."""
-    facts = sales_facts(t)
+    facts = sales_facts(_dealt(t))
     is_late = (F.col("l_linenumber") == 7) & (F.col("sale_date") >= on("2001-07-01"))
     on_time, late = facts.filter(~is_late), facts.filter(is_late)
     early = loads.daily_sales(on_time)
