@@ -1,10 +1,12 @@
 """What one task gets is bounded by rows or records, not only by compressed bytes."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.scratch import scratch_path
-from tidemark.plans import load_queries
-from tidemark.sources import footers, writers
+from tidemark.plans import load_queries, source_queries
+from tidemark.sources import files, footers, writers
 
 
 def rows_per_file(spark, path):
@@ -29,3 +31,20 @@ def test_facts_are_joined_by_tasks_of_bounded_rows(spark, tables, monkeypatch):
     assert sum(held) == tables["lineitem"].count() and max(held) < 1500
     plain = load_queries.sales_facts(tables)
     assert facts.exceptAll(plain).isEmpty() and plain.exceptAll(facts).isEmpty()
+
+
+def test_xml_files_hold_a_bounded_number_of_records(spark, tables, monkeypatch):
+    path = scratch_path(spark, "xml")
+    docs = spark.range(0, 1000, 1, 1).select(F.col("id").alias("order_id"), F.when(F.col("id") % 7 > 0, F.col("id") * 2).alias("b"))
+    writers.export_xml(docs, path, "order", "orders", records=100)
+    back = files.read_xml_records(spark, path, "order", "order_id bigint, b bigint")
+    held = [r["count"] for r in back.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert sorted(held) == [100] * 10
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, docs.collect()))
+
+    at = []
+    monkeypatch.setattr(source_queries, "_path", lambda t, name: at.append(scratch_path(spark, name)) or at[-1])
+    monkeypatch.setattr(writers, "export_xml", partial(writers.export_xml, records=1000))
+    assert source_queries.src_xml_records(tables).count() == 2 * tables["lineitem"].count()
+    stored = files.read_xml_records(spark, at[0], "order", "order_id bigint")
+    assert max(r["count"] for r in stored.groupBy(F.col("_metadata.file_name")).count().collect()) <= 1000

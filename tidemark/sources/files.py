@@ -206,5 +206,8 @@ def read_json_document(
 
 
 def read_xml_records(spark: SparkSession, path: str | list[str], row_tag: str, schema: str | T.StructType) -> DataFrame:
-    """One row per ``row_tag`` element; the schema is given, so one-element lists stay lists."""
+    """One row per ``row_tag`` element; the schema is given, so one-element lists stay lists.
+
+    A file is read by one task; ``export_xml`` bounds the files it writes.
+    """
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
