@@ -80,3 +80,43 @@ def test_suffix_order_and_prefixes():
         fit = order[order <= len(s) - 13]
         for a, b, n in zip(fit, fit[1:], suffixes.common_prefixes(data, fit, 13)):
             assert n == next((k for k in range(13) if s[a + k] != s[b + k]), 13)
+
+
+def test_ranks_tell_whether_the_first_bytes_agree(monkeypatch):
+    rounds = []
+    ranked = suffixes._ranked
+    monkeypatch.setattr(suffixes, "_ranked", lambda *a: rounds.append(len(a[1])) or ranked(*a))
+    for seed in range(150):
+        draw = random.Random(seed)
+        alphabet = draw.choice([b"a", b"ab", b"\x00\xff", bytes(range(256))])
+        some = bytes(draw.choices(alphabet, k=draw.randint(1, 60)))
+        s = some * draw.randint(1, 4) + bytes(draw.choices(alphabet, k=draw.randint(0, 60))) + some
+        data, depth = np.frombuffer(s, np.uint8), draw.choice([1, 3, 7, 20, 50, 400])
+        order, rank = suffixes.suffix_ranks(data, depth)
+        assert [s[i : i + depth] for i in order] == sorted(s[i : i + depth] for i in range(len(s)))
+        groups = {}
+        for i in range(len(s)):
+            groups.setdefault(s[i : i + depth] if i + depth <= len(s) else i, []).append(i)
+        assert sorted(groups.values()) == sorted(np.flatnonzero(rank == r).tolist() for r in set(rank.tolist()))
+        wanted = np.array([i + depth <= len(s) and draw.random() < 0.5 for i in range(len(s))])
+        order, rank = suffixes.suffix_ranks(data, depth, wanted)
+        mine = [i for i in order.tolist() if wanted[i]]
+        assert [s[i : i + depth] for i in mine] == sorted(s[i : i + depth] for i in np.flatnonzero(wanted))
+        assert all((rank[a] == rank[b]) == (s[a : a + depth] == s[b : b + depth]) for a, b in zip(mine, mine[1:]))
+    # A long repeat is settled in a few rounds of sorting numbers.
+    rounds.clear()
+    text = prose(70, 3000).encode()
+    suffixes.suffix_ranks(np.frombuffer(text + b"." + text, np.uint8), 400)
+    assert len(rounds) <= 9
+
+
+def test_many_suffixes_are_ranked_without_packing():
+    text = np.frombuffer(b"".join(prose(80 + k % 3, 2400).encode() for k in range(150)), np.uint8)
+    assert 3 * (len(text) + 1).bit_length() > 63
+    order, rank = suffixes.suffix_ranks(text, 100)
+    s = text.tobytes()
+    assert (np.diff(rank[order]) >= 0).all() and sorted(order.tolist()) == list(range(len(s)))
+    for k in range(0, len(s) - 1, 997):
+        a, b = order[k], order[k + 1]
+        x, y = s[a : a + 100], s[b : b + 100]
+        assert x <= y and (rank[a] == rank[b]) == (x == y and len(x) == 100)
