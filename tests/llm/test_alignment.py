@@ -119,3 +119,22 @@ def test_links_of_a_group():
     assert alignment.links([2, 3, 1], [3, 3]) == [(0, 0), (1, 0), (1, 1), (2, 1)]
     assert alignment.links([5], [1, 1, 3]) == [(0, 0), (0, 1), (0, 2)]
     assert alignment.align([7, 8, 9], [1, 2, 3], [4, 5], [3, 3]) == [(0, 2, 0, 1), (2, 3, 1, 2)]
+
+
+def test_pieces_learned_together_are_told_apart_at_once(documents, monkeypatch):
+    texts = [r.text for r in documents.limit(60).collect()] + TEXTS
+    monkeypatch.setattr(alignment, "_JOINED", 500)
+    aligner, alone = alignment.Aligner(), alignment.Aligner()
+    pieces = list(dict.fromkeys(p for t in texts for p in aligner.pieces(t)))
+    for piece in pieces:
+        alone._learn_alone(piece)
+    one_by_one = []
+    align = alignment.align
+    monkeypatch.setattr(alignment, "align", lambda *a: one_by_one.append(a) or align(*a))
+    aligner.learn(pieces)
+    assert len(one_by_one) < len(pieces) / 4
+    for piece in pieces:
+        i, j = aligner.known[piece], alone.known[piece]
+        assert aligner.groups[i] == alone.groups[j]
+        assert aligner.numbers[4 * i : 4 * i + 4] == alone.numbers[4 * j : 4 * j + 4]
+        assert aligner.pairs[aligner.ends[i] : aligner.ends[i + 1]] == alone.pairs[alone.ends[j] : alone.ends[j + 1]]

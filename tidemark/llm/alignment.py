@@ -5,7 +5,7 @@ the text, before which it puts the space itself.  The places where a token of bo
 id lists into groups; inside a group every pair of tokens whose bytes overlap is a link.
 
 ``align`` finds the cuts by intersecting the key sets of two dictionaries from cumulative end to
-token index.  A text is first taken apart before each space that follows a non-space: neither
+token index; ``Aligner`` does the same with arrays for many pieces of text at once.  A text is first taken apart before each space that follows a non-space: neither
 tokenizer has a token across that place, so it is always a cut, and each piece can be aligned by
 itself.  Pieces recur, so a task remembers those it has seen (``Aligner``).
 
@@ -37,6 +37,7 @@ from tidemark.llm.common import numbered
 TOKENIZERS = "/opt/tokenizers"
 BLOCK = 1 << 22  # characters of text in a block
 _PIECES, _LINKS = 400_000, 6_000_000  # what a task remembers at most
+_JOINED = 1 << 16  # characters encoded in one go
 _LOW = 32  # bits of B's id in a pair
 
 
@@ -98,6 +99,9 @@ class Aligner:
         assert not any(re.search("[^▁]▁", p) for p in pieces)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        # Every id as printed before another of its side, the other side, another group, another piece.
+        self.ids = max(len(self.a_size), len(self.b_size))
+        self.shown = [f"{i}{after}" for after in ",|;\n" for i in range(self.ids)]
         self.forget()
 
     def forget(self) -> None:
@@ -116,29 +120,45 @@ class Aligner:
     def learn(self, pieces: list[str]) -> None:
         """Aligns the pieces and remembers them."""
         # A piece that ends in white space, as at the end of a text, must not meet another one.
-        self._learn_together([p for p in pieces if p and not p[-1].isspace()])
+        joined = [p for p in pieces if p and not p[-1].isspace()]
+        part = np.cumsum([len(p) for p in joined]) // _JOINED
+        for some in np.split(np.arange(len(joined)), np.flatnonzero(np.diff(part)) + 1) if joined else []:
+            self._learn_together(joined[some[0] : some[-1] + 1])
         for piece in pieces:
             if not piece or piece[-1].isspace():
                 self._learn_alone(piece)
 
     def _learn_together(self, pieces: list[str]) -> None:
-        """Encodes the pieces in one go and tells them apart by their sizes."""
+        """Encodes the pieces in one go and tells them apart by their sizes, all of them at once."""
         joined = " " + " ".join(pieces)
         b = self.b.encode(joined[1:])
         if b"".join(map(self.b_bytes.__getitem__, b)) != joined.encode():
             for piece in pieces:
                 self._learn_alone(piece)
             return
-        a = self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids
-        a_sizes, b_sizes = self.a_size[a], self.b_size[b]
-        cuts = np.cumsum([1 + len(p.encode()) for p in pieces])
-        a_to, b_to = (np.searchsorted(np.cumsum(sizes), cuts).tolist() for sizes in (a_sizes, b_sizes))
-        a_sizes, b_sizes = a_sizes.tolist(), b_sizes.tolist()
-        i = j = 0
-        for piece, last_i, last_j in zip(pieces, a_to, b_to):
-            to_i, to_j = last_i + 1, last_j + 1
-            self._add(piece, a[i:to_i], a_sizes[i:to_i], b[j:to_j], b_sizes[j:to_j])
-            i, j = to_i, to_j
+        a = np.array(self.a.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array(b, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        cuts, a_cut, b_cut = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        # Two tokens overlap where nothing ends between: one pair for each end of either.
+        ends = np.union1d(a_ends, b_ends)
+        pairs = a[np.searchsorted(a_ends, ends)] << _LOW | b[np.searchsorted(b_ends, ends)]
+        to = np.cumsum([1 + len(p.encode()) for p in pieces])
+        upto = np.stack([np.searchsorted(x, to) + 1 for x in (a_ends, b_ends, cuts, ends)], axis=1)
+        # Tokens in the order they are printed, each with what follows it.
+        a_after, b_after = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        a_after[a_cut], b_after[b_cut], b_after[upto[:, 1] - 1] = 1, 2, 3
+        a_place = np.arange(len(a)) + np.r_[0, b_cut + 1][np.searchsorted(a_cut, np.arange(len(a)))]
+        b_place = np.arange(len(b)) + (a_cut + 1)[np.searchsorted(b_cut, np.arange(len(b)))]
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[a_place], shown[b_place] = a_after * self.ids + a, b_after * self.ids + b
+        printed = "".join(map(self.shown.__getitem__, shown.tolist()))[:-1].split("\n")
+        first = len(self.groups)
+        self.known.update(zip(pieces, range(first, first + len(pieces))))
+        self.groups.extend(printed)
+        self.ends.frombytes((len(self.pairs) + upto[:, 3]).tobytes())
+        self.pairs.frombytes(pairs.tobytes())
+        self.numbers.frombytes(np.diff(upto, axis=0, prepend=0).tobytes())
 
     def _learn_alone(self, piece: str) -> None:
         # B puts a space before a text, but none before an empty one.
