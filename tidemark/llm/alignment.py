@@ -5,9 +5,10 @@ the text, before which it puts the space itself.  The places where a token of bo
 id lists into groups; inside a group every pair of tokens whose bytes overlap is a link.
 
 ``align`` finds the cuts by intersecting the key sets of two dictionaries from cumulative end to
-token index; ``Aligner`` does the same with arrays for many pieces of text at once.  A text is first taken apart before each space that follows a non-space: neither
-tokenizer has a token across that place, so it is always a cut, and each piece can be aligned by
-itself.  Pieces recur, so a task remembers those it has seen (``Aligner``).
+token index; ``Aligner`` does the same with arrays for many pieces of text at once.  A text is first
+taken apart before each space that follows a non-space: neither tokenizer has a token across that
+place, so it is always a cut, and each piece can be aligned by itself.  Pieces recur, so a task
+remembers those it has seen.
 
 How many documents hold a pair of ids is a count over the corpus.  Documents are handled in blocks
 of a few MB; a block knows each of its pairs once, so what is shuffled is one row per block and pair,
