@@ -1,6 +1,8 @@
 """What one task gets is bounded by rows or records, not only by compressed bytes."""
 
+import gzip
 from functools import partial
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -48,3 +50,24 @@ def test_xml_files_hold_a_bounded_number_of_records(spark, tables, monkeypatch):
     assert source_queries.src_xml_records(tables).count() == 2 * tables["lineitem"].count()
     stored = files.read_xml_records(spark, at[0], "order", "order_id bigint")
     assert max(r["count"] for r in stored.groupBy(F.col("_metadata.file_name")).count().collect()) <= 1000
+
+
+def test_xml_files_take_a_small_part_of_the_disk_of_their_text(spark, monkeypatch):
+    lines = spark.range(0, 20_000, 1, 2).select(
+        F.col("id").alias("l_orderkey"), F.when(F.col("id") % 11 > 0, F.hash("id").cast("bigint")).alias("l_partkey"), F.xxhash64("id").alias("l_suppkey"),
+        F.lit(3).alias("l_linenumber"), F.when(F.col("id") % 13 > 0, F.floor(F.col("id") / 2)).alias("l_quantity"),
+    )
+    given = type("Given", (dict,), {"spark": spark})(lineitem=lines)
+    at = []
+    monkeypatch.setattr(source_queries, "_path", lambda t, name: at.append(scratch_path(spark, name)) or at[-1])
+    got = source_queries.src_xml_records(given)
+    want = lines.select("l_orderkey", "l_partkey", "l_quantity").unionAll(lines.select("l_orderkey", "l_suppkey", F.col("l_linenumber").cast("bigint")))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    stored = [f for f in Path(at[0].removeprefix("file:")).iterdir() if f.name.startswith("part-")]
+    text = sum(len(gzip.decompress(f.read_bytes()) if f.suffix == ".gz" else f.read_bytes()) for f in stored)
+    # Keys without any order, which compress worse than those of a real table.
+    assert text > 20_000 * 250 and sum(f.stat().st_size for f in stored) < text / 6
+
+    path = scratch_path(spark, "xml")  # plain where it is not asked for
+    writers.export_xml(lines.limit(10), path, "order", "orders")
+    assert {f.suffix for f in Path(path.removeprefix("file:")).iterdir() if f.name.startswith("part-")} == {".xml"}

@@ -194,7 +194,7 @@ def src_xml_records(t) -> DataFrame:
     item = lambda a, b: F.struct(F.col(a).alias("product"), F.col(b).cast("bigint").alias("quantity"))
     items = F.struct(F.array(item("l_partkey", "l_quantity"), item("l_suppkey", "l_linenumber")).alias("item"))
     docs = t["lineitem"].select(F.col("l_orderkey").alias("order_id"), items.alias("items"))
-    writers.export_xml(docs, path, "order", "orders")
+    writers.export_xml(docs, path, "order", "orders", compression="gzip")
     schema = "order_id bigint, items struct<item: array<struct<product: bigint, quantity: bigint>>>"
     return files.read_xml_records(t.spark, path, "order", schema).select("order_id", F.inline("items.item"))
 
